@@ -102,14 +102,14 @@ FROM (SELECT *,
     CASE WHEN debtor_account_type = 'iban' AND NOT {sql_loose('debtor_account_id')} THEN 'Invalid debtor IBAN format: ' || debtor_account_id END,
     CASE WHEN creditor_account_type = 'iban' AND NOT {sql_loose('creditor_account_id')} THEN 'Invalid creditor IBAN format: ' || creditor_account_id END,
     CASE WHEN debtor_account_id IS NULL AND creditor_account_id IS NULL THEN 'Transaction must have at least one account (debtor or creditor)' END
-  ], x -> x IS NOT NULL) AS errs,
+  ], lambda x: x IS NOT NULL) AS errs,
   list_filter([
     CASE WHEN amount IS NULL THEN 'Amount is NULL - transaction may be incomplete' END,
     CASE WHEN amount = 0 THEN 'Zero amount transaction' END,
     CASE WHEN abs(amount) > 1000000 THEN 'Large amount: ' || CAST(amount AS VARCHAR) END,
     CASE WHEN creditor_account_type = 'atm' THEN 'ATM transaction without creditor IBAN' END,
     CASE WHEN transaction_datetime > {SQL_AS_OF} THEN 'Future transaction datetime: ' || strftime(transaction_datetime, '%Y-%m-%d %H:%M:%S') END
-  ], x -> x IS NOT NULL) AS warns
+  ], lambda x: x IS NOT NULL) AS warns
  FROM st_tx_mapped) m""")
 
 stage("st_comm_mapped", f"""
@@ -134,13 +134,13 @@ FROM (SELECT *,
     CASE WHEN originator_id IS NULL THEN 'Missing required field: originator_id' END,
     CASE WHEN recipient_id IS NULL THEN 'Missing required field: recipient_id' END,
     CASE WHEN communication_type = 'call' AND duration_seconds < 0 THEN 'Negative duration: ' || CAST(duration_seconds AS VARCHAR) END
-  ], x -> x IS NOT NULL) AS errs,
+  ], lambda x: x IS NOT NULL) AS errs,
   list_filter([
     CASE WHEN communication_type = 'call' AND duration_seconds > 86400 THEN 'Very long call duration: ' || CAST(duration_seconds AS VARCHAR) || 's' END,
     CASE WHEN NOT coalesce(regexp_matches(originator_id, '^\\+[1-9][0-9]{1,14}$'), false) THEN 'Non-standard phone format: ' || coalesce(originator_id, 'None') END,
     CASE WHEN NOT coalesce(regexp_matches(recipient_id, '^\\+[1-9][0-9]{1,14}$'), false) THEN 'Non-standard phone format: ' || coalesce(recipient_id, 'None') END,
     CASE WHEN communication_type = 'sms' AND message_content IS NULL THEN 'Message records should have content' END
-  ], x -> x IS NOT NULL) AS warns
+  ], lambda x: x IS NOT NULL) AS warns
  FROM st_comm_mapped) m""")
 
 
