@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import prepare
-from . import line_dedup, ngram_join, substring_dedup
+from . import chat, licenses, line_dedup, mixing, ngram_join, sentencepiece, substring_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -25,6 +25,18 @@ def query(name: str, table: str, sql: str | None = None):
     return add
 
 
+@query("op1_sentencepiece", "documents")
+def op1(docs: DataFrame) -> DataFrame:
+    told = sentencepiece.decode(sentencepiece.encode(docs.select("doc_id", "text")))
+    return told.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"), "parity",
+                       F.sha2("decoded", 256).alias("decoded_sha256"), F.equal_null("decoded", "text").alias("round_trip"))
+
+
+@query("op2_license_scan", "documents")
+def op2(docs: DataFrame) -> DataFrame:
+    return licenses.scan_licenses(docs.select("doc_id", "text")).drop("spans")
+
+
 @query("op3_ngram_jaccard_join", "documents")
 def op3(docs: DataFrame) -> DataFrame:
     return ngram_join.similar(docs, shingle=3, threshold=90)
@@ -39,3 +51,45 @@ def op7(docs: DataFrame) -> DataFrame:
 @query("op8_substring_dedup", "documents")
 def op8(docs: DataFrame) -> DataFrame:
     return substring_dedup.remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op4_mix_sources", "documents")
+def op4(docs: DataFrame) -> DataFrame:
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+_MARKERS = " ".join(f"WHEN '{role}' THEN {len(a) + len(b)}" for role, (a, b, _) in chat.TEMPLATE.items())
+_ESCAPED = "replace(t, chr(92), chr(92) || '0')"
+for _k, _control in enumerate(chat.CONTROLS, 1):
+    _ESCAPED = f"replace({_ESCAPED}, '{_control}', chr(92) || '{_k}')"
+
+
+@query("op5_chat_format", "conversations", f"""
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(r || chr(10) || t || chr(10), '' ORDER BY turn, r, t)) AS turns_sha256,
+  CAST(coalesce(sum(length(t)) FILTER (WHERE r = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(t, '' ORDER BY turn, r, t) FILTER (WHERE r = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length({_ESCAPED}) + CASE r {_MARKERS} END) AS BIGINT) AS formatted_chars,
+  CASE WHEN bool_and(fits) THEN max_by(r, turn) ELSE 'invalid' END AS state
+FROM (SELECT *, coalesce((r = 'system' AND n = 1) OR (r = 'user' AND coalesce(last, 'assistant') <> 'user')
+        OR (r = 'assistant' AND last = 'user'), false) AS fits
+      FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t, row_number() OVER w AS n, lag(role) OVER w AS last
+            FROM (SELECT conv_id, turn, role, text FROM conversations UNION ALL
+                  SELECT -7, * FROM (VALUES (0, 'user', '</s>[INST] ok [/INST]'), (1, 'assistant', '</s>[INST] ok [/INST]')) AS v(a, b, c)) c
+            WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)) d) e
+GROUP BY conv_id""")
+def op5(conversations: DataFrame) -> DataFrame:
+    extra = conversations.sparkSession.sql("""
+        SELECT bigint(-7) AS conv_id, * FROM VALUES (bigint(0), 'user', '</s>[INST] ok [/INST]'), (bigint(1), 'assistant', '</s>[INST] ok [/INST]')
+        AS v(turn, role, text)""")
+    return chat.digests(chat.format_chat(conversations.select("conv_id", "turn", "role", "text").union(extra)))
+
+
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (prepare(spark).read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels.where(~toxicity.held_out(F.col("doc_id"))))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    held_out, score = toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col("toxic_score").alias("score")
+    return scored.select("doc_id", held_out, score, (score >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+QUERIES["op10_toxicity"] = op10
