@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import prepare
-from . import chat, licenses, line_dedup, mixing, ngram_join, sentencepiece, substring_dedup, toxicity
+from . import chat, embedding_dedup, hamming_search, licenses, line_dedup, mixing, ngram_join, sentencepiece, substring_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -93,3 +93,21 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op10_toxicity"] = op10
+
+
+@query("op6_embedding_near_dedup", "embeddings")
+def op6(vectors: DataFrame) -> DataFrame:
+    return embedding_dedup.near_duplicates(vectors)
+
+
+@query("op9_exact_top_k", "embeddings", """
+WITH codes AS (
+  SELECT vec_id, list_aggregate([CASE WHEN embedding[i] > 0 THEN CAST(1 AS UBIGINT) << (i - 1) ELSE 0 END for i in range(1, 65)], 'bit_or') AS code
+  FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) = 64)
+SELECT * FROM (
+  SELECT q.vec_id, row_number() OVER (PARTITION BY q.vec_id ORDER BY bit_count(xor(q.code, c.code)), c.vec_id) AS rank,
+    c.vec_id AS neighbour, CAST(bit_count(xor(q.code, c.code)) AS BIGINT) AS distance
+  FROM codes q JOIN codes c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0) r
+WHERE rank <= 10""")
+def op9(vectors: DataFrame) -> DataFrame:
+    return hamming_search.top_k(vectors)
