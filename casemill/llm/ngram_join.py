@@ -6,16 +6,19 @@ documents link when the Jaccard similarity of their sets of ``shingle``-word shi
 
 - Documents with equal sets form a class; only one of each class goes on.
 - Sizes fall into bands. Sets linked within a band of largest size u differ in at most
-  k = floor(2 u (100 - t) / (100 + t)) shingles. The shingle domain is split into k + 2 parts by hash;
-  two linked sets agree in at least two parts (PartEnum with subsets of one part), so a signature is
+  k = floor(2 u (100 - t) / (100 + t)) shingles. The shingle domain is split into k + m parts by hash;
+  two linked sets agree in at least m parts (PartEnum with subsets of one part), so a signature is
   the band, the part, and the sum of the scattered hashes in it. A set signs in its own band and, if a
   linked larger set can lie in the next one, there as well.
-- Parts in which a set has nothing would gather unrelated documents. A set with at most one such part
-  leaves it out, since of two agreeing parts one is then not empty; others sign empty parts too.
-- Sets that share a signature are candidates. While a group's pairs across different components are
-  many, one member of each group is compared with all others outside its component, for ROUNDS turns
-  at most; then all pairs that are left across components are compared. So every link that can change
-  a component is tested, and a group of near copies costs about one comparison a member.
+- Empty parts would gather unrelated sets, and so would parts with nothing but a common passage. Call
+  a part of a set bad if it is empty, or if more than LIGHT sets share its signature. A set with fewer
+  than m bad parts in a band leaves their groups, since it agrees with any linked set in a good part,
+  too; m is 2 + k / SPARE, so few sets but members of large families of near copies stay in them.
+- Pairs within groups of at most LIGHT are candidates if they share as many signatures there as their
+  parts that aren't bad leave necessary. In heavy groups, while their pairs across different components
+  are many, one member of each group is compared with all others outside its component, as long as
+  that finds links, for ROUNDS turns at most; then all pairs left across components are compared. So every link that can
+  change a component is tested, and a family of near copies costs about one comparison a member.
 - A comparison intersects the sorted 64-bit shingle hashes.
 
 Result: a row per input row with doc_id, n_shingles, class_id (the smallest doc_id with an equal set)
@@ -37,6 +40,8 @@ from ._shared import U, components, mix, small_batches, stored, window_hashes
 SHINGLE = 5
 THRESHOLD = 80
 BAND = 1.5
+LIGHT = 8
+SPARE = 4
 ROUNDS = 6
 SMALL_LIST = 1_000_000  # doc_ids that may be sent to all executors, 8 MB
 
@@ -62,22 +67,19 @@ def bands(size: int, threshold: int) -> list[tuple[int, int]]:
 
 
 def signatures(own: np.ndarray, threshold: int) -> np.ndarray:
-    """The PartEnum signatures of a set."""
-    out = []
+    """The PartEnum signatures of a set; the last 16 bits of each are the band, and how many of the m are not empty parts."""
+    out, scattered = [], mix(own)
     for band, k in bands(len(own), threshold) if len(own) else []:
         if k == 0:
             continue  # only equal sets link
-        parts = k + 2
-        part = (own >> U(11)) % U(parts)
-        order = np.argsort(part, kind="stable")
-        counts = np.bincount(part.astype(np.int64), minlength=parts)
-        sums = np.zeros(parts + 1, dtype=U)
-        total = np.concatenate([np.zeros(1, U), np.cumsum(mix(own)[order], dtype=U)])
-        ends = np.cumsum(counts)
-        sums = total[ends] - total[ends - counts]
-        signed = mix(sums ^ mix(np.arange(parts, dtype=U) + U(1_000_003 * (band + 1))))
-        empty = counts == 0
-        out.append(signed if empty.sum() > 1 else signed[~empty])
+        m = min(127, 2 + k // SPARE)
+        part = ((own >> U(11)) % U(k + m)).astype(np.int64)
+        sums = np.zeros(k + m, dtype=U)
+        np.add.at(sums, part, scattered)
+        full = np.bincount(part, minlength=k + m) > 0
+        left = max(0, m - int((~full).sum()))
+        hashed = mix(sums ^ mix(np.arange(k + m, dtype=U) + U(1_000_003 * (band + 1))))
+        out.append(((hashed >> U(16) << U(16)) | U((band % 256) << 8 | left))[full if left else slice(None)])
     return np.concatenate([np.zeros(0, U), *out])
 
 
@@ -144,13 +146,23 @@ def similar(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD)
     told = rows.where("doc_id IS NOT NULL")
     classes = told.where("n_shingles > 0").groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("class_id"))
     firsts = told.join(classes.select(F.col("class_id").alias("doc_id"), "n_shingles", "d1", "d2"), ["doc_id", "n_shingles", "d1", "d2"], "left_semi")
-    signs = firsts.select("doc_id", F.explode("signs").alias("sign"))
-    groups = signs.groupBy("sign").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("sign")
-    members = stored(signs.join(groups, "sign").distinct(), "members")
-    wanted = stored(members.select("doc_id").distinct(), "wanted")
+    signs = firsts.select("doc_id", F.explode("signs").alias("s")).select("doc_id", F.col("s").bitwiseAND(F.lit(~255)).alias("sign"), F.col("s").bitwiseAND(F.lit(255)).alias("left"))
+    groups = signs.groupBy("sign").agg(F.count("*").alias("n")).where("n > 1")
+    together = stored(signs.join(groups, "sign").withColumn("band", F.col("sign").bitwiseAND(F.lit(0xFF00))), "together")
+    heavy = together.where(F.col("n") > LIGHT)
+    bad = heavy.groupBy("doc_id", "band").agg(F.count("*").alias("heavy"))
+    light = together.where(F.col("n") <= LIGHT).join(bad, ["doc_id", "band"], "left")
+    light = light.select("sign", "band", "doc_id", (F.col("left") - F.coalesce("heavy", F.lit(0))).alias("need"))
+    pairs = light.alias("x").join(light.alias("y"), F.expr("x.sign = y.sign AND x.doc_id < y.doc_id")).select("x.band", F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"), F.greatest("x.need", "y.need").alias("need"))
+    pairs = pairs.groupBy("a", "b", "band").agg(F.count("*").alias("n"), F.max("need").alias("need")).where("n >= need").select("a", "b").distinct()
+    pairs = stored(pairs, "pairs")
+    many = bad.join(heavy.groupBy("doc_id", "band").agg(F.max("left").alias("left")), ["doc_id", "band"]).where("heavy >= left")
+    members = stored(heavy.join(many.select("doc_id", "band"), ["doc_id", "band"], "left_semi").select("sign", "doc_id"), "members")
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(members.select("doc_id"))
+    wanted = stored(ids.distinct(), "wanted")
     wanted = F.broadcast(wanted) if wanted.count() <= SMALL_LIST else wanted
     own = stored(docs.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(shingle), "doc_id bigint, own binary").distinct(), "sets")
-    links = _links(members, own, threshold)
+    links = _links(stored(_compared(pairs, own, threshold), "similar"), members, own, threshold)
     # a doc_id with several rows ties the classes of all of them
     tied = told.select("doc_id", "n_shingles", "d1", "d2").join(classes, ["n_shingles", "d1", "d2"])
     nodes = links.union(tied.where("class_id <> doc_id").select(F.col("class_id").alias("a"), F.col("doc_id").alias("b")))
@@ -161,16 +173,18 @@ def similar(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD)
     return out.select("doc_id", "n_shingles", F.when(known, F.coalesce("class_id", "doc_id")).alias("class_id"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def _links(members: DataFrame, own: DataFrame, threshold: int) -> DataFrame:
-    """Links that connect whatever the pairs within groups of equal signatures connect."""
-    found, turn, state, size = None, 0, members.withColumn("part", F.col("doc_id")), members.count()
-    while True:
+def _links(found: DataFrame, members: DataFrame, own: DataFrame, threshold: int) -> DataFrame:
+    """The links found, and links that connect whatever else the pairs within heavy groups connect."""
+    turn, size, gained = 0, members.count(), True
+    while size:
+        joined = components(found, "a", "b")
+        state = members.join(joined, members["doc_id"] == joined["node"], "left").select("doc_id", "sign", F.coalesce("component", "doc_id").alias("part"))
         parts = state.groupBy("sign", "part").agg(F.count("*").alias("n"))
         open_ = parts.groupBy("sign").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"), F.count("*").alias("parts")).where("parts > 1")
         pairs_left = open_.agg(F.sum((F.col("n").cast("double") * F.col("n") - F.col("same")) / 2)).first()[0] or 0
         if not pairs_left:
-            return found if found is not None else own.sparkSession.createDataFrame([], "a bigint, b bigint")
-        last = turn == ROUNDS or pairs_left <= size
+            break
+        last = turn == ROUNDS or not gained or pairs_left <= 4 * size
         inside = state.join(open_.select("sign"), "sign")
         if last:
             pairs = inside.alias("l").join(inside.alias("r"), F.expr("l.sign = r.sign AND l.part < r.part")).select(F.col("l.doc_id").alias("a"), F.col("r.doc_id").alias("b"))
@@ -180,9 +194,8 @@ def _links(members: DataFrame, own: DataFrame, threshold: int) -> DataFrame:
             pairs = inside.join(hubs, "sign").where(F.col("part") != F.col("hub.part")).select(F.col("hub.doc_id").alias("a"), F.col("doc_id").alias("b"))
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         new = stored(_compared(pairs, own, threshold), "similar")
-        found = new if found is None else found.union(new)
+        found, gained = found.union(new), not new.isEmpty()
         if last:
-            return found
+            break
         turn += 1
-        joined = components(found, "a", "b")
-        state = members.join(joined, members["doc_id"] == joined["node"], "left").select("doc_id", "sign", F.coalesce("component", "doc_id").alias("part"))
+    return found
