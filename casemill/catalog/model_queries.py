@@ -153,13 +153,6 @@ def unmapped_messages(d):
     return canonical.unmapped(L.raw_messages(d), done, "message_id").select("message_id", "source_id")
 
 
-@query("unmapped_batch", """
-SELECT transaction_id, datum FROM fx_transactions WHERE datum >= DATE '2000-01-01' ORDER BY datum DESC, transaction_id LIMIT 1000""")
-def unmapped_batch(d):
-    done = L.canon_tx(d).where(F.col("posting_date") < F.lit(DONE))
-    return canonical.unmapped(L.raw_tx(d), done, "transaction_id", 1000, "datum").select("transaction_id", "datum")
-
-
 @query("unmapped_counts", """
 SELECT 'transaction' AS kind, count(*) AS unmapped FROM fx_transactions WHERE datum >= DATE '2000-01-01'
 UNION ALL SELECT 'call', count(*) FROM fx_calls WHERE duration_seconds <= 3600

@@ -78,6 +78,15 @@ def raw_messages(df: DataFrame) -> DataFrame:
         "message_text": col("message_text"), "message_type": F.lit("sms")})
 
 
+def computed_once(df: DataFrame) -> DataFrame:
+    """The same rows, with every column computed before the next step.
+
+    The optimiser puts a projection into each expression above it that uses it; where rules on derived
+    columns follow, the plan multiplies with every step. It doesn't do so through a generator.
+    """
+    return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
+
+
 def map_transactions(raw: DataFrame) -> DataFrame:
     """Raw bank rows in canonical columns, not yet validated."""
     j = F.from_json("raw_data", BANK_JSON)
@@ -110,6 +119,7 @@ def map_transactions(raw: DataFrame) -> DataFrame:
         F.col("j.kenmerk").alias("reference_number"),
         F.lit(False).alias("is_cancelled"),
         F.coalesce(F.lower("j.is_storno") == "true", F.lit(False)).alias("is_reversal"))
+    mapped = computed_once(mapped)
     return mapped.withColumn("data_completeness_score", completeness(mapped))
 
 
@@ -124,7 +134,7 @@ def _communication(raw: DataFrame, record_id: str, kind: str, fields: dict[str,
         "recipient_type": F.lit("msisdn"),
         "network_operator": F.lit(OPERATOR),
     }
-    return raw.select(*[c.alias(n) for n, c in {**shared, **fields}.items()])
+    return computed_once(raw.select(*[c.alias(n) for n, c in {**shared, **fields}.items()]))
 
 
 def map_calls(raw: DataFrame) -> DataFrame:
@@ -172,8 +182,8 @@ def _missing(df: DataFrame, fields):
 def _with_status(df: DataFrame, errors, warnings) -> DataFrame:
     status = (F.when(F.size("validation_errors") > 0, "error")
               .when(F.size("validation_warnings") > 0, "warning").otherwise("valid"))
-    return (df.withColumns({"validation_errors": _notes(errors), "validation_warnings": _notes(warnings)})
-            .withColumn("validation_status", status))
+    noted = df.withColumns({"validation_errors": _notes(errors), "validation_warnings": _notes(warnings)})
+    return computed_once(noted).withColumn("validation_status", status)
 
 
 def _say(prefix: str, c: Column, suffix: str = "") -> Column:
@@ -230,15 +240,10 @@ def canonical_communications(calls: DataFrame, messages: DataFrame) -> DataFrame
     return validate_communications(map_calls(calls).unionByName(map_messages(messages)))
 
 
-def unmapped(raw: DataFrame, canonical: DataFrame, record_id: str, limit: int | None = None,
-             newest: str | None = None) -> DataFrame:
-    """Raw rows without a canonical row; ``limit`` takes one batch of the newest."""
-    done = canonical.select(F.col("source_system_id").alias("source_id"),
-                            F.col("source_record_id").alias(record_id))
-    left = raw.join(done, ["source_id", record_id], "left_anti").select(*raw.columns)
-    if limit is None:
-        return left
-    return left.orderBy(F.col(newest).desc_nulls_last(), record_id).limit(limit)
+def unmapped(raw: DataFrame, canonical: DataFrame, record_id: str) -> DataFrame:
+    """Raw rows without a canonical row."""
+    done = canonical.select(F.col("source_system_id").alias("source_id"), F.col("source_record_id").alias(record_id))
+    return raw.join(done, ["source_id", record_id], "left_anti").select(*raw.columns)
 
 
 def unmapped_counts(pairs: dict[str, tuple[DataFrame, DataFrame, str]]) -> DataFrame:

@@ -59,35 +59,33 @@ def insert_absent(old: DataFrame, new: DataFrame, keys: Sequence[str], order: Se
     return old.unionByName(added)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], at_most: int = 64) -> DataFrame:
-    """The most frequent keys, never more than ``at_most`` rows."""
-    known = df.select(*keys).na.drop()
-    return known.groupBy(*keys).agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), *keys).limit(at_most).drop("_n")
+def spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Equi join for keys of any frequency.
 
-
-def spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", salts: int = 16,
-                at_most: int = 64) -> DataFrame:
-    """Equi join whose frequent left keys are split over ``salts`` partitions.
-
-    Only right rows of those few keys are copied. Left rows without a key are
-    split as well, since they would all land in one partition. Which keys count
-    as frequent changes the work split, never the result. The broadcast list has
-    at most ``at_most`` rows.
+    Adaptive execution splits the partitions of frequent keys while it runs, so the plan holds either
+    side once. Left rows without a key, which match nothing but would all land in one partition, are
+    dealt out by a hash of the row instead.
     """
     keys = list(keys)
-    hot = F.broadcast(hot_keys(left, keys, at_most).withColumn("_hot", F.lit(True)))
-    no_key = F.lit(False)
+    known = F.lit(True)
     for key in keys:
-        no_key = no_key | F.col(key).isNull()
-    other = [c for c in left.columns if c not in keys] or keys
-    lot = F.pmod(F.xxhash64(*other), F.lit(salts))
-    salted_left = (left.join(hot, keys, "left")
-                   .withColumn("_salt", F.when(F.col("_hot") | no_key, lot).otherwise(F.lit(0).cast("bigint")))
-                   .drop("_hot"))
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_right = (right.join(hot, keys, "left").withColumn("_salt", F.explode(copies))
-                    .withColumn("_salt", F.col("_salt").cast("bigint")).drop("_hot"))
-    return salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt")
+        known = known & F.col(key).isNotNull()
+    if how == "inner":
+        return left.where(known).join(right, keys, how)
+    others = [c for c in left.columns if c not in keys]
+    lot = F.when(~known, F.xxhash64(*(others or keys)))
+    return _spread(left.withColumn("_lot", lot), right, keys, how)
+
+
+def _spread(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    lot = F.coalesce("_lot", F.lit(0))
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys], F.lit(0).cast("bigint").alias("_r_lot"))
+    on = lot == F.col("_r_lot")
+    for k in keys:
+        on = on & (F.col(k) == F.col(f"_r_{k}"))
+    out = left.join(r, on, how)
+    rest = [c for c in left.columns if c not in (*keys, "_lot")]
+    return out.select(*keys, *rest, *[c for c in right.columns if c not in keys])
 
 
 def previous_value(df: DataFrame, key: str, at: str, value: str, out: str, bucket: str = "day") -> DataFrame:

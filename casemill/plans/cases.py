@@ -7,12 +7,14 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 CASE = "investigation_id"
-PAGE_LIMIT = 1000
 
 
-def page(df: DataFrame, limit: int, offset: int = 0, most: int = PAGE_LIMIT) -> DataFrame:
-    """One page of an ordered result; bounds are clamped."""
-    return df.offset(max(0, offset)).limit(min(max(1, limit), most))
+def page(df: DataFrame, limit: int | None, offset: int = 0, most: int | None = None) -> DataFrame:
+    """One page of an ordered result; no limit gives all rows. A bound out of range is an error."""
+    if offset < 0 or (limit is not None and (limit < 1 or (most is not None and limit > most))):
+        raise ValueError(f"limit {limit} (1 to {most or 'any'}) or offset {offset} is out of range")
+    df = df.offset(offset) if offset else df
+    return df if limit is None else df.limit(limit)
 
 
 # ---- per account, pair and day --------------------------------------------------------------
@@ -275,7 +277,7 @@ def search_messages(messages: DataFrame, case=None, phone_number=None, start_dat
 
 
 def case_list(cases: DataFrame, status=None, lead_investigator=None, start_date_from=None, start_date_to=None,
-              skip: int = 0, limit: int = 100) -> DataFrame:
+              skip: int = 0, limit: int | None = None) -> DataFrame:
     out = cases if status is None else cases.where(F.col("status") == status)
     if lead_investigator is not None:
         out = out.where(F.col("lead_investigator") == lead_investigator)
@@ -284,7 +286,7 @@ def case_list(cases: DataFrame, status=None, lead_investigator=None, start_date_
 
 
 def file_list(files: DataFrame, case=None, source_type=None, processing_status=None, skip: int = 0,
-              limit: int = 100) -> DataFrame:
+              limit: int | None = None) -> DataFrame:
     out = files
     for column, value in ((CASE, case), ("source_type", source_type), ("processing_status", processing_status)):
         if value is not None:
@@ -308,11 +310,9 @@ def keyword_search(df: DataFrame, query: str, record_id: str, text_col: str) ->
     """Rows that hold a word of the query, stop words aside, with the words found."""
     from pyspark.ml.feature import StopWordsRemover
 
-    from ..functions.text import TOKEN_BREAK, tokens
-    import regex
+    from ..functions.text import tokens
 
-    stop = set(StopWordsRemover.loadDefaultStopWords("dutch"))
-    terms = sorted({t for t in regex.split(TOKEN_BREAK, query.lower()) if t and t not in stop})
-    wanted = F.array(*[F.lit(t) for t in terms]).cast("array<string>")
+    stop = F.array(*[F.lit(w) for w in StopWordsRemover.loadDefaultStopWords("dutch")])
+    wanted = F.array_except(tokens(F.lit(query)), F.array_union(stop, F.array(F.lit(""))))
     found = df.select(record_id, F.array_sort(F.array_intersect(tokens(F.col(text_col)), wanted)).alias("matched_terms"))
     return found.where(F.size("matched_terms") > 0)

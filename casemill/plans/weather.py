@@ -84,8 +84,8 @@ def data_quality_summary(obs: DataFrame) -> DataFrame:
     return per.withColumn("percentage", F.col("record_count") * 100.0 / every.cast("double"))
 
 
-def observation_search(obs: DataFrame, station: str | None = None, start_date=None, end_date=None, limit: int = 100,
-                       offset: int = 0) -> DataFrame:
+def observation_search(obs: DataFrame, station: str | None = None, start_date=None, end_date=None,
+                       limit: int | None = None, offset: int = 0, most: int | None = None) -> DataFrame:
     out = obs
     if station is not None:
         out = out.where(F.col("station_name").ilike(f"%{station}%"))
@@ -94,7 +94,7 @@ def observation_search(obs: DataFrame, station: str | None = None, start_date=No
     if end_date is not None:
         out = out.where(F.col("timestamp") <= F.lit(end_date).cast("timestamp_ntz"))
     ordered = out.orderBy(F.desc("timestamp"), "station_name", F.desc("ingestion_time"))
-    return page(ordered, limit, offset).select(
+    return page(ordered, limit, offset, most).select(
         "station_name", "timestamp", "temperature", "humidity", "wind_speed", "precipitation", "rain",
         "wind_direction", "pressure", "feels_like_temp", "data_quality")
 
@@ -123,8 +123,8 @@ def tower_clean(raw: DataFrame) -> DataFrame:
     return newest_per_key(base, [*TOWER_KEY, "unit"], ["updated_ts", "samples"])
 
 
-def tower_search(clean: DataFrame, radio: str | None = None, mcc: int | None = None, bbox=None, limit: int = 100,
-                 offset: int = 0) -> DataFrame:
+def tower_search(clean: DataFrame, radio: str | None = None, mcc: int | None = None, bbox=None,
+                 limit: int | None = None, offset: int = 0, most: int | None = None) -> DataFrame:
     """Busiest towers first; ``bbox`` is (min lon, min lat, max lon, max lat)."""
     out = clean
     if radio is not None:
@@ -134,7 +134,7 @@ def tower_search(clean: DataFrame, radio: str | None = None, mcc: int | None = N
     if bbox is not None:
         out = out.where(F.col("lon").between(bbox[0], bbox[2]) & F.col("lat").between(bbox[1], bbox[3]))
     ordered = out.orderBy(F.col("samples").desc_nulls_last(), *TOWER_KEY, "unit", "radio")
-    return _tower_view(page(ordered, limit, offset))
+    return _tower_view(page(ordered, limit, offset, most))
 
 
 def tower_by_cell(clean: DataFrame, cell: int) -> DataFrame:
