@@ -3,7 +3,7 @@
 from . import access, case_queries, intake_queries, market_queries, model_queries, quality_queries, table_queries, weather_queries
 from .registry import QUERIES, SQL
 
-FLAGSHIP = "iban_quality"
+FLAGSHIP = "ohlcv_1min"
 
 __all__ = ["FLAGSHIP", "QUERIES", "SQL", "access", "case_queries", "intake_queries", "market_queries", "model_queries",
            "quality_queries", "table_queries", "weather_queries"]

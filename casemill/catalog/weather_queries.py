@@ -1 +1,86 @@
+"""Weather observations, stations and towers."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..plans import weather
+from .registry import query, stage
+
+stage("st_silver", """
+SELECT station_name, timestamp, round_even(temperature, 2) AS temperature, humidity, round_even(precipitation, 2) AS precipitation, round_even(rain, 2) AS rain,
+  round_even(wind_speed, 2) AS wind_speed, wind_direction, pressure, latitude, longitude, ingestion_time,
+  round_even(temperature - (0.2e0 * wind_speed + 0.01e0 * (100 - humidity)), 2) AS feels_like_temp, 'passed' AS data_quality FROM fx_observations""")
+
+
+def _silver(d):
+    return weather.weather_silver(d.fx_observations)
+
+
+@query("ingest_metrics", """
+SELECT count(*) AS records, count(DISTINCT station_name) AS stations, round(avg(temperature), 6) AS avg_temperature FROM fx_observations""")
+def ingest_metrics(d):
+    return weather.ingest_metrics(d.fx_observations).withColumn("avg_temperature", F.round("avg_temperature", 6))
+
+
+@query("hourly_trends", """
+SELECT date_trunc('hour', timestamp) AS hour, station_name, round(avg(temperature), 6) AS avg_temperature, round(avg(humidity), 6) AS avg_humidity,
+  count(*) AS observation_count FROM fx_observations GROUP BY date_trunc('hour', timestamp), station_name""")
+def hourly_trends(d):
+    out = weather.hourly_trends(_silver(d))
+    return out.select("hour", "station_name", F.round("avg_temperature", 6).alias("avg_temperature"), F.round("avg_humidity", 6).alias("avg_humidity"), "observation_count")
+
+
+@query("station_metrics", """
+SELECT s.station_name, s.latitude, s.longitude, count(o.station_name) AS total_observations, max(timestamp) AS last_observation,
+  round(avg(temperature), 6) AS avg_temperature, min(temperature) AS min_temperature, max(temperature) AS max_temperature,
+  round(avg(humidity), 6) AS avg_humidity, round(avg(wind_speed), 4) AS avg_wind_speed
+FROM fx_stations s LEFT JOIN fx_observations o ON s.station_name = o.station_name GROUP BY s.station_name, s.latitude, s.longitude""")
+def station_metrics(d):
+    out = weather.station_metrics(d.fx_stations, d.fx_observations)
+    return out.withColumns({"avg_temperature": F.round("avg_temperature", 6), "avg_humidity": F.round("avg_humidity", 6), "avg_wind_speed": F.round("avg_wind_speed", 4)})
+
+
+@query("station_list", "SELECT station_name, count(*) AS observation_count, max(timestamp) AS last_observation FROM fx_observations GROUP BY station_name")
+def station_list(d):
+    return weather.station_list(d.fx_observations)
+
+
+@query("data_quality_summary", """
+SELECT q AS data_quality, count(*) AS record_count, min(timestamp) AS first_seen, max(timestamp) AS last_seen,
+  count(*) * 100.0e0 / sum(count(*)) OVER () AS percentage
+FROM (SELECT timestamp, CASE WHEN humidity > 90 THEN 'failed' ELSE 'passed' END AS q FROM fx_observations) t GROUP BY q""")
+def data_quality_summary(d):
+    marked = _silver(d).withColumn("data_quality", F.when(F.col("humidity") > 90, "failed").otherwise("passed"))
+    return weather.data_quality_summary(marked)
+
+
+@query("observation_search", """
+SELECT station_name, timestamp, temperature, humidity FROM fx_observations WHERE station_name ILIKE '%dam%'""")
+def observation_search(d):
+    return weather.observation_search(_silver(d), "dam").select("station_name", "timestamp", "temperature", "humidity")
+
+
+stage("st_tower_rows", """
+SELECT lower(trim(radio)) AS radio, nullif(mcc, 0) AS mcc, nullif(net, 0) AS net, nullif(area, 0) AS area, nullif(cell, 0) AS cell, nullif(unit, 0) AS unit,
+  nullif(lon, 0) AS lon, nullif(lat, 0) AS lat, nullif(range, 0) AS range_m, nullif(samples, 0) AS samples, updated
+FROM fx_towers WHERE abs(lat) <= 90 AND abs(lon) <= 180""")
+
+
+@query("tower_search", """
+SELECT radio, mcc, net, area, cell, lon, lat, range_m AS range, samples
+FROM (SELECT *, row_number() OVER (PARTITION BY mcc, net, area, cell, unit ORDER BY nullif(updated, 0) DESC NULLS LAST, samples DESC NULLS LAST) AS n
+      FROM st_tower_rows) q WHERE n = 1 AND radio = 'lte' AND lon BETWEEN 3 AND 6 AND lat BETWEEN 51 AND 53""")
+def tower_search(d):
+    found = weather.tower_search(weather.tower_clean(d.fx_towers), "LTE", bbox=(3, 51, 6, 53))
+    return found.select("radio", "mcc", "net", "area", "cell", "lon", "lat", "range", "samples")
+
+
+@query("weather_tower_proximity")
+def weather_tower_proximity(d):
+    return weather.weather_tower_proximity(weather.tower_clean(d.fx_towers), d.fx_stations, _silver(d))
+
+
+@query("tower_station")
+def tower_station(d):
+    return weather.tower_station(weather.tower_clean(d.fx_towers), d.fx_stations)
