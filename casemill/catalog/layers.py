@@ -296,95 +296,3 @@ def silver(d: Data) -> DataFrame:
     """Observations after the quality gate: rows that fail it are labelled, not dropped."""
     ok = F.col("temperature") <= 45
     return weather.weather_silver(d.fx_observations).withColumn("data_quality", F.when(ok, "passed").otherwise("failed"))
-
-
-stage("st_silver", """
-SELECT station_name, timestamp, round_even(temperature, 2) AS temperature, humidity, round_even(precipitation, 2) AS precipitation,
-  round_even(rain, 2) AS rain, round_even(wind_speed, 2) AS wind_speed, wind_direction, pressure, latitude, longitude, ingestion_time,
-  round_even(temperature - (2e-1 * wind_speed + 1e-2 * (100 - humidity)), 2) AS feels_like_temp,
-  CASE WHEN temperature <= 45 THEN 'passed' ELSE 'failed' END AS data_quality
-FROM fx_observations""")
-
-
-def towers(d: Data) -> DataFrame:
-    return weather.tower_clean(d.fx_towers)
-
-
-stage("st_towers", """
-SELECT * EXCLUDE rn FROM (SELECT *, row_number() OVER (PARTITION BY mcc, net, area, cell, unit
-    ORDER BY updated_ts DESC NULLS LAST, samples DESC NULLS LAST, radio DESC, lon DESC NULLS LAST, lat DESC NULLS LAST,
-             range_m DESC NULLS LAST, created_ts DESC) AS rn
-  FROM (SELECT lower(trim(radio)) AS radio, nullif(mcc, 0) AS mcc, nullif(net, 0) AS net, nullif(area, 0) AS area,
-          nullif(cell, 0) AS cell, nullif(unit, 0) AS unit, nullif(lon, 0) AS lon, nullif(lat, 0) AS lat, nullif(range, 0) AS range_m,
-          nullif(samples, 0) AS samples, coalesce(changeable, 0) AS changeable,
-          make_timestamp(nullif(created, 0) * 1000000) AS created_ts, make_timestamp(nullif(updated, 0) * 1000000) AS updated_ts,
-          averageSignal AS average_signal
-        FROM fx_towers WHERE lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180) b) r WHERE rn = 1""")
-
-stage("st_tower_station", """
-SELECT * EXCLUDE rn FROM (SELECT *, row_number() OVER (PARTITION BY mcc, net, area, cell ORDER BY distance_km, station_name, radio) AS rn
-  FROM (SELECT t.mcc, t.net, t.area, t.cell, t.radio, t.lon AS tower_lon, t.lat AS tower_lat, s.station_name,
-          round(6371 * acos(greatest(-1e0, least(1e0, cos(radians(t.lat)) * cos(radians(s.latitude))
-            * cos(radians(s.longitude - t.lon)) + sin(radians(t.lat)) * sin(radians(s.latitude))))), 6) AS distance_km
-        FROM st_towers t, fx_stations s WHERE t.lon IS NOT NULL AND t.lat IS NOT NULL) p) r WHERE rn = 1""")
-
-
-# ---- case summaries -------------------------------------------------------------------------
-
-
-def clean_tx(d: Data) -> DataFrame:
-    return d.fx_transactions
-
-
-def ibans(d: Data) -> DataFrame:
-    return cases.iban_summary(d.fx_transactions)
-
-
-def daily(d: Data) -> DataFrame:
-    return cases.daily_activity(d.fx_transactions, d.fx_calls, d.fx_messages)
-
-
-stage("st_ibans", """
-SELECT investigation_id, iban, count(*) AS total_transactions,
-  CAST(sum(CASE WHEN bedrag < 0 THEN bedrag ELSE 0 END) AS DOUBLE) AS total_debit,
-  CAST(sum(CASE WHEN bedrag > 0 THEN bedrag ELSE 0 END) AS DOUBLE) AS total_credit, CAST(sum(bedrag) AS DOUBLE) AS net_amount,
-  min(datum) AS first_transaction, max(datum) AS last_transaction, count(DISTINCT datum) AS active_days
-FROM fx_transactions GROUP BY ALL""")
-
-stage("st_call_net", """
-SELECT investigation_id, caller, callee, count(*) AS call_count, CAST(sum(duration_seconds) AS BIGINT) AS total_duration_seconds,
-  round(avg(duration_seconds), 6) AS avg_duration_seconds, min(timestamp) AS first_call, max(timestamp) AS last_call
-FROM fx_calls GROUP BY ALL""")
-
-stage("st_msg_net", """
-SELECT investigation_id, sender, recipient, count(*) AS message_count, min(timestamp) AS first_message, max(timestamp) AS last_message
-FROM fx_messages GROUP BY ALL""")
-
-stage("st_daily", """
-SELECT coalesce(t.investigation_id, c.investigation_id, m.investigation_id) AS investigation_id,
-  coalesce(t.date, c.date, m.date) AS date, coalesce(transaction_count, 0) AS transaction_count,
-  coalesce(total_amount, 0) AS total_amount, coalesce(call_count, 0) AS call_count,
-  coalesce(total_call_duration, 0) AS total_call_duration, coalesce(message_count, 0) AS message_count
-FROM (SELECT investigation_id, datum AS date, count(*) AS transaction_count, sum(bedrag) AS total_amount FROM fx_transactions GROUP BY ALL) t
-FULL JOIN (SELECT investigation_id, CAST(timestamp AS DATE) AS date, count(*) AS call_count, CAST(sum(duration_seconds) AS BIGINT) AS total_call_duration
-  FROM fx_calls GROUP BY ALL) c ON t.investigation_id = c.investigation_id AND t.date = c.date
-FULL JOIN (SELECT investigation_id, CAST(timestamp AS DATE) AS date, count(*) AS message_count FROM fx_messages GROUP BY ALL) m
-  ON coalesce(t.investigation_id, c.investigation_id) = m.investigation_id AND coalesce(t.date, c.date) = m.date""")
-
-stage("st_case_stats", """
-SELECT k.investigation_id, k.name AS investigation_name, coalesce(total_transactions, 0) AS total_transactions,
-  coalesce(total_transaction_amount, 0) AS total_transaction_amount, coalesce(unique_ibans, 0) AS unique_ibans,
-  coalesce(total_calls, 0) AS total_calls, coalesce(hours, 0) AS total_call_duration_hours,
-  coalesce(phones, 0) AS unique_phone_numbers, coalesce(total_messages, 0) AS total_messages,
-  coalesce(people, 0) AS unique_message_participants, first_activity_date, last_activity_date, coalesce(active_days, 0) AS active_days
-FROM fx_cases k
-LEFT JOIN (SELECT investigation_id, CAST(sum(transaction_count) AS BIGINT) AS total_transactions, CAST(sum(total_amount) AS DOUBLE) AS total_transaction_amount,
-  min(date) AS first_activity_date, max(date) AS last_activity_date, count(DISTINCT date) AS active_days FROM st_daily GROUP BY 1) a USING (investigation_id)
-LEFT JOIN (SELECT investigation_id, count(DISTINCT iban) AS unique_ibans FROM st_ibans GROUP BY 1) b USING (investigation_id)
-LEFT JOIN (SELECT investigation_id, CAST(sum(call_count) AS BIGINT) AS total_calls, round(sum(total_duration_seconds) / 36e2, 6) AS hours FROM st_call_net GROUP BY 1) c USING (investigation_id)
-LEFT JOIN (SELECT investigation_id, count(DISTINCT p) AS phones FROM (SELECT investigation_id, caller AS p FROM st_call_net UNION
-  SELECT investigation_id, callee FROM st_call_net) u GROUP BY 1) e USING (investigation_id)
-LEFT JOIN (SELECT investigation_id, CAST(sum(message_count) AS BIGINT) AS total_messages FROM st_msg_net GROUP BY 1) f USING (investigation_id)
-LEFT JOIN (SELECT investigation_id, count(DISTINCT p) AS people FROM (SELECT investigation_id, sender AS p FROM st_msg_net UNION
-  SELECT investigation_id, recipient FROM st_msg_net) u GROUP BY 1) g USING (investigation_id)
-WHERE k.status = 'active'""")

@@ -70,7 +70,7 @@ def spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     known = F.lit(True)
     for key in keys:
         known = known & F.col(key).isNotNull()
-    if how == "inner":
+    if how in ("inner", "left_semi"):
         return left.where(known).join(right, keys, how)
     others = [c for c in left.columns if c not in keys]
     lot = F.when(~known, F.xxhash64(*(others or keys)))

@@ -165,16 +165,16 @@ def contract_check(df: DataFrame, rules: Sequence[Rule], columns: dict[str, str]
 
 
 def weather_checks() -> dict[str, Column]:
-    """The seven conditions every observation must meet."""
+    """Fixed values, names included: the seven conditions every observation must meet."""
     col = F.col
     return {
         "temperature_range": col("temperature").between(-30, 45),
         "humidity_range": col("humidity").between(0, 100),
         "wind_speed_positive": col("wind_speed") >= 0,
         "precipitation_positive": col("precipitation") >= 0,
-        "temperature_present": col("temperature").isNotNull(),
-        "station_present": col("station_name").isNotNull(),
-        "location_in_range": col("latitude").between(50.7, 53.6) & col("longitude").between(3.3, 7.2),
+        "no_null_temperature": col("temperature").isNotNull(),
+        "no_null_station": col("station_name").isNotNull(),
+        "valid_coordinates": col("latitude").between(50.7, 53.6) & col("longitude").between(3.3, 7.2),
     }
 
 
