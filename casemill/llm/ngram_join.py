@@ -15,10 +15,9 @@ documents link when the Jaccard similarity of their sets of ``shingle``-word shi
   than m bad parts in a band leaves their groups, since it agrees with any linked set in a good part,
   too; m is 2 + k / SPARE, so few sets but members of large families of near copies stay in them.
 - Pairs within groups of at most LIGHT are candidates if they share as many signatures there as their
-  parts that aren't bad leave necessary. In heavy groups, while their pairs across different components
-  are many, one member of each group is compared with all others outside its component, as long as
-  that finds links, for ROUNDS turns at most; then all pairs left across components are compared. So every link that can
-  change a component is tested, and a family of near copies costs about one comparison a member.
+  parts that aren't bad leave necessary. Sets that meet in heavy groups form families, which are cut into
+  blocks of about FAMILY_BLOCK by a hash; each pair of blocks is compared in one task by products of
+  their incidence matrices, and returns what each set is connected to there, never the pairs.
 - A comparison intersects the sorted 64-bit shingle hashes.
 
 Result: a row per input row with doc_id, n_shingles, class_id (the smallest doc_id with an equal set)
@@ -36,13 +35,15 @@ from pyspark.sql import DataFrame, functions as F
 
 from ._pieces import Piece, pieces
 from ._shared import U, components, mix, small_batches, stored, window_hashes
+from .embedding_dedup import connected
 
 SHINGLE = 5
 THRESHOLD = 80
 BAND = 1.5
 LIGHT = 8
 SPARE = 4
-ROUNDS = 6
+FAMILY_BLOCK = 400
+COLUMNS = 4096
 SMALL_LIST = 1_000_000  # doc_ids that may be sent to all executors, 8 MB
 
 
@@ -162,7 +163,7 @@ def similar(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD)
     wanted = stored(ids.distinct(), "wanted")
     wanted = F.broadcast(wanted) if wanted.count() <= SMALL_LIST else wanted
     own = stored(docs.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(shingle), "doc_id bigint, own binary").distinct(), "sets")
-    links = _links(stored(_compared(pairs, own, threshold), "similar"), members, own, threshold)
+    links = stored(_compared(pairs, own, threshold).union(_family_links(members, own, threshold)), "similar")
     # a doc_id with several rows ties the classes of all of them
     tied = told.select("doc_id", "n_shingles", "d1", "d2").join(classes, ["n_shingles", "d1", "d2"])
     nodes = links.union(tied.where("class_id <> doc_id").select(F.col("class_id").alias("a"), F.col("doc_id").alias("b")))
@@ -173,29 +174,43 @@ def similar(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD)
     return out.select("doc_id", "n_shingles", F.when(known, F.coalesce("class_id", "doc_id")).alias("class_id"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def _links(found: DataFrame, members: DataFrame, own: DataFrame, threshold: int) -> DataFrame:
-    """The links found, and links that connect whatever else the pairs within heavy groups connect."""
-    turn, size, gained = 0, members.count(), True
-    while size:
-        joined = components(found, "a", "b")
-        state = members.join(joined, members["doc_id"] == joined["node"], "left").select("doc_id", "sign", F.coalesce("component", "doc_id").alias("part"))
-        parts = state.groupBy("sign", "part").agg(F.count("*").alias("n"))
-        open_ = parts.groupBy("sign").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"), F.count("*").alias("parts")).where("parts > 1")
-        pairs_left = open_.agg(F.sum((F.col("n").cast("double") * F.col("n") - F.col("same")) / 2)).first()[0] or 0
-        if not pairs_left:
-            break
-        last = turn == ROUNDS or not gained or pairs_left <= 4 * size
-        inside = state.join(open_.select("sign"), "sign")
-        if last:
-            pairs = inside.alias("l").join(inside.alias("r"), F.expr("l.sign = r.sign AND l.part < r.part")).select(F.col("l.doc_id").alias("a"), F.col("r.doc_id").alias("b"))
-        else:  # one member of each open group meets all others that aren't in its component
-            order = F.xxhash64("doc_id", F.lit(turn)) if turn else F.col("doc_id")
-            hubs = inside.groupBy("sign").agg(F.min(F.struct(order.alias("order"), "doc_id", "part")).alias("hub"))
-            pairs = inside.join(hubs, "sign").where(F.col("part") != F.col("hub.part")).select(F.col("hub.doc_id").alias("a"), F.col("doc_id").alias("b"))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        new = stored(_compared(pairs, own, threshold), "similar")
-        found, gained = found.union(new), not new.isEmpty()
-        if last:
-            break
-        turn += 1
-    return found
+def _within(threshold: int):
+    """The links between two blocks of a family, as (doc_id, least doc_id connected to it here)."""
+
+    def run(key, table):
+        table = table.combine_chunks()
+        x_block, y_block = key[1].as_py(), key[2].as_py()
+        ids, block = table["doc_id"].to_numpy(), table["block"].to_numpy()
+        own = [np.frombuffer(x.as_py(), dtype=U) for x in table["own"]]
+        sizes = np.array([len(x) for x in own])
+        owner = np.repeat(np.arange(len(own)), sizes)
+        _, column, counts = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
+        shared = counts > 1  # the others are in no intersection
+        place = np.cumsum(shared) - 1
+        owner, column = owner[shared[column]], place[column[shared[column]]]
+        order = np.argsort(column, kind="stable")
+        owner, column = owner[order], column[order]
+        both = np.zeros((len(own), len(own)), dtype=np.float32)
+        for low in range(0, int(shared.sum()), COLUMNS):
+            a, b = np.searchsorted(column, [low, low + COLUMNS])
+            part = np.zeros((len(own), COLUMNS), dtype=np.float32)
+            part[owner[a:b], column[a:b] - low] = 1
+            both += part @ part.T
+        both = both.astype(np.int64)
+        near = 100 * both >= threshold * (sizes[:, None] + sizes[None, :] - both)
+        i, j = np.nonzero(near & (block == x_block)[:, None] & (block == y_block)[None, :])
+        low = connected(i, j, ids)
+        return pa.table({"a": low[low != ids], "b": ids[low != ids]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+
+    return run
+
+
+def _family_links(members: DataFrame, own: DataFrame, threshold: int) -> DataFrame:
+    """Links that connect what the pairs within heavy groups connect."""
+    hubs = members.groupBy("sign").agg(F.min("doc_id").alias("hub"))
+    family = components(members.join(hubs, "sign").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")), "a", "b")
+    sizes = family.groupBy("component").agg(F.ceil(F.count("*") / FAMILY_BLOCK).cast("int").alias("blocks"))
+    rows = family.join(sizes, "component").join(own, F.col("node") == F.col("doc_id"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("component", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "doc_id", "block", "own")
+    return rows.groupBy("component", "x", "y").applyInArrow(_within(threshold), "a bigint, b bigint")
