@@ -10,8 +10,9 @@ by ``every``.
 
 Rows of equal codes stand in the index as one code with its k least vec_ids, the only ones that can
 enter an answer; they are picked by a limit per code and salt first, so a code that a third of all rows
-share is split. Candidates are compared as codes, and only what can still be among the k best of a
-query is kept from round to round.
+share is split. Candidates are compared as codes; one farther than the k-th best known of its query is
+dropped where it is found, and only what can still be among the k best goes from round to round. An index
+of at most SMALL_INDEX entries is sent to the executors; beyond that lookups and index are shuffled.
 
 Result: vec_id (of the query), rank from 1, neighbour, distance; the query itself is no neighbour; ties
 go to the smaller vec_id. There are fewer than k rows where the table has fewer. Rows whose vector or
@@ -21,7 +22,7 @@ give unset bits. Rows of one vec_id and code count once. Other columns are not r
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ._shared import stored
 
@@ -30,6 +31,7 @@ EVERY = 50
 BITS = 64
 WIDTH = 16
 SALTS = 64
+SMALL_INDEX = 1_000_000  # entries of the index that may be sent to all executors, 20 MB; a larger one is shuffled
 
 
 def codes(vectors: DataFrame, bits: int = BITS) -> DataFrame:
@@ -39,43 +41,50 @@ def codes(vectors: DataFrame, bits: int = BITS) -> DataFrame:
     return vectors.where(F.col("vec_id").isNotNull() & (F.size("embedding") == bits)).select(F.col("vec_id").cast("bigint").alias("vec_id"), code.alias("code"))
 
 
+def masks(radius: int) -> Column:
+    """The words of WIDTH bits of which ``radius`` are set: a constant, made once and not for each row."""
+    return F.split(F.lit(",".join(str(m) for m in range(1 << WIDTH) if m.bit_count() == radius)), ",").cast("array<int>")
+
+
 def top_k(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
     """(vec_id, rank, neighbour, distance) for all rows with vec_id divisible by ``every``."""
-    segments = BITS // WIDTH
+    spark, segments = vectors.sparkSession, BITS // WIDTH
     rows = stored(codes(vectors).distinct(), "codes")
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(SALTS))).withColumn("place", F.row_number().over(W.partitionBy("code", "salt").orderBy("vec_id"))).where(F.col("place") <= k + 1)
     first = salted.withColumn("place", F.row_number().over(W.partitionBy("code").orderBy("vec_id"))).where(F.col("place") <= k + 1).select("vec_id", "code")
     first = stored(first, "first-of-code")
-    segment = lambda c: F.explode(F.array(*[F.struct(F.lit(s).alias("segment"), F.shiftrightunsigned(c, s * WIDTH).bitwiseAND(F.lit((1 << WIDTH) - 1)).cast("int").alias("value")) for s in range(segments)]))
-    index = stored(first.select("code").distinct().select("code", segment("code").alias("at")).select("code", "at.*"), "segments")
+    slot = lambda c: F.explode(F.array(*[F.shiftrightunsigned(c, s * WIDTH).bitwiseAND(F.lit((1 << WIDTH) - 1)).cast("int") + F.lit(s << WIDTH) for s in range(segments)]))
+    index = stored(first.groupBy("code").agg(F.count("*").alias("ids")).select("code", "ids", slot(F.col("code")).alias("slot")), "segments")
+    # the lookups far outnumber the index; without a hint their number is underestimated and they would be sent around
+    index = F.broadcast(index) if index.count() <= SMALL_INDEX else index.hint("merge")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     queries = rows.where(F.col("vec_id") % every == 0)
-    best, open_ = None, stored(queries.select("code").distinct().withColumnRenamed("code", "query"), "open")
-    found = None
+    open_ = stored(queries.select(F.col("code").alias("query"), F.lit(BITS).alias("worst")).distinct(), "open")
+    best = found = None
     for radius in range(WIDTH + 1):
-        flips = F.filter(F.sequence(F.lit(0), F.lit((1 << WIDTH) - 1)), lambda m: F.bit_count(m) == radius)  # noqa: B023  a constant, folded by the optimiser
-        probes = open_.select("query", segment("query").alias("at")).withColumn("mask", F.explode(flips))
-        probes = probes.select("query", F.col("at.segment").alias("segment"), F.col("at.value").bitwiseXOR(F.col("mask")).alias("value"))
-        hits = probes.join(index, ["segment", "value"]).select("query", "code", F.bit_count(F.col("query").bitwiseXOR(F.col("code"))).cast("int").alias("distance")).distinct()
-        hits = hits if found is None else hits.union(found.join(open_, "query", "left_semi")).distinct()
-        hits = hits.withColumn("place", F.row_number().over(W.partitionBy("query").orderBy("distance", "code")))
-        hits = stored(_needed(hits, first, k), "found")
+        probes = open_.select("query", "worst", slot(F.col("query")).alias("slot")).repartition(tasks, "query", "slot").withColumn("mask", F.explode(masks(radius)))
+        probes = probes.select("query", "worst", F.col("slot").bitwiseXOR(F.col("mask")).alias("slot"))
+        distance = F.bit_count(F.col("query").bitwiseXOR(F.col("code"))).cast("int")
+        hits = probes.join(index, "slot").where(distance <= F.col("worst")).select("query", "code", "ids", distance.alias("distance"))
+        hits = hits if found is None else hits.union(found.join(open_, "query", "left_semi"))
+        hits = stored(_needed(hits.distinct(), k), "found")
         proven = radius * segments + segments - 1
-        enough = hits.where(F.col("distance") <= proven).groupBy("query").agg(F.sum("ids").alias("ids")).where(F.col("ids") > k)
-        done = hits.join(enough.select("query"), "query", "left_semi").select("query", "code", "distance")
+        ids = lambda within: F.coalesce(F.sum(F.when(within, F.col("ids"))), F.lit(0))
+        state = hits.groupBy("query").agg((ids(F.col("distance") <= proven) > k).alias("done"), F.when(ids(F.lit(True)) > k, F.max("distance")).otherwise(BITS).alias("worst"))
+        state = stored(state, "open")
+        done = hits.join(state.where("done"), "query", "left_semi").select("query", "code", "distance")
         best = done if best is None else best.union(done)
-        open_ = stored(open_.join(enough, "query", "left_anti"), "open")
-        found = hits.select("query", "code", "distance")
+        open_, found = state.where("NOT done").select("query", "worst"), hits
         if open_.isEmpty():
             break
     else:
-        best = best.union(found.join(open_, "query", "left_semi"))
+        best = best.union(found.join(open_, "query", "left_semi").select("query", "code", "distance"))
     answers = queries.join(best.withColumnRenamed("code", "near"), F.col("code") == F.col("query")).join(first.select(F.col("vec_id").alias("neighbour"), F.col("code").alias("near")), "near").where(F.col("neighbour") != F.col("vec_id"))
     rank = F.row_number().over(W.partitionBy("vec_id").orderBy("distance", "neighbour"))
     return answers.withColumn("rank", rank.cast("bigint")).where(F.col("rank") <= k).select("vec_id", "rank", "neighbour", F.col("distance").cast("bigint").alias("distance"))
 
 
-def _needed(hits: DataFrame, first: DataFrame, k: int) -> DataFrame:
+def _needed(hits: DataFrame, k: int) -> DataFrame:
     """Of each query's codes, in order of distance, those of distances at which fewer than k + 1 ids were known before."""
-    sizes = first.groupBy("code").agg(F.count("*").alias("ids"))
-    near = hits.join(sizes, "code").withColumn("upto", F.sum("ids").over(W.partitionBy("query").orderBy("distance").rangeBetween(W.unboundedPreceding, -1)))
-    return near.where(F.coalesce("upto", F.lit(0)) <= k).select("query", "code", "distance", "ids")
+    near = hits.withColumn("upto", F.sum("ids").over(W.partitionBy("query").orderBy("distance").rangeBetween(W.unboundedPreceding, -1)))
+    return near.where(F.coalesce("upto", F.lit(0)) <= k).select("query", "code", "ids", "distance")
