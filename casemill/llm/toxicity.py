@@ -120,38 +120,51 @@ def _counted(terms: list[bytes]):
 class Model:
     terms: list[bytes]
     idf: np.ndarray
-    weights: np.ndarray  # example x term, rows of length 1
-    maxima: np.ndarray  # block x term
+    blocks: np.ndarray  # block x term x example, vectors of length 1
+    maxima: np.ndarray  # term x block
     toxic: np.ndarray
     ids: np.ndarray
     levels: np.ndarray  # score of each bin of votes
     none: float  # score of texts without terms
 
+    @property
+    def weights(self) -> np.ndarray:
+        """Example by term."""
+        return self.blocks.transpose(0, 2, 1).reshape(-1, len(self.terms))[: len(self.toxic)]
+
     def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
         t = np.fromiter(sorted(counts), dtype=np.int64, count=len(counts))
         v = (1 + np.log(np.array([counts[x] for x in t], dtype=float))) * self.idf[t]
         return t, v / np.sqrt((v * v).sum())
 
     def nearest(self, t: np.ndarray, v: np.ndarray, k: int, but: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The examples of the k largest cosines over 0, and the cosines; example ``but`` left out."""
-        bounds = self.maxima[:, t] @ v
+        """The examples of the k largest cosines over 0, and the cosines; example ``but`` left out.
+
+        Bounds and cosines are sums in one order, so that rounding never puts a cosine above its bound.
+        Blocks are visited by their bounds, twice as many at a time as before; those of equal bounds in
+        their order: behind the k-th place an equal one can't win.
+        """
+        bounds = (v[:, None] * self.maxima[t]).sum(0)
         best, places = np.zeros(0), np.zeros(0, dtype=np.int64)
-        for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or len(best) == k and bounds[block] < best[-1]:
+        order, at, step = np.argsort(-bounds, kind="stable"), 0, 1
+        while at < len(order):
+            block = order[at]
+            if bounds[block] <= 0 or len(best) == k and (bounds[block] < best[-1] or bounds[block] == best[-1] and block * BLOCK > places[-1]):
                 break
-            own = np.arange(block * BLOCK, min((block + 1) * BLOCK, len(self.weights)))
-            cosine = self.weights[own][:, t] @ v
-            fits = (cosine > 0) & (own != but)
-            best, places = np.concatenate([best, cosine[fits]]), np.concatenate([places, own[fits]])
-            order = np.lexsort((places, -best))[:k]
-            best, places = best[order], places[order]
+            some = order[at : at + step, None]
+            at, step = at + step, 2 * step
+            cosines, own = (v[None, :, None] * self.blocks[some, t]).sum(1).ravel(), (some * BLOCK + np.arange(BLOCK)).ravel()
+            fits = (cosines > 0) & (cosines >= (best[-1] if len(best) == k else 0)) & (own != but)
+            best, places = np.concatenate([best, cosines[fits]]), np.concatenate([places, own[fits]])
+            first = np.lexsort((places, -best))[:k]
+            best, places = best[first], places[first]
         return places, best
 
     def vote(self, places: np.ndarray, cosines: np.ndarray) -> float:
         return float((cosines * self.toxic[places]).sum() / cosines.sum()) if len(places) else 0.0
 
     def score(self, counts: dict[int, int], k: int) -> tuple[float, np.ndarray, np.ndarray]:
-        if not counts or not len(self.weights):
+        if not counts or not len(self.blocks):
             return self.none, np.zeros(0, np.int64), np.zeros(0)
         places, cosines = self.nearest(*self.vector(counts), k)
         if not len(places):
@@ -188,15 +201,15 @@ def index(vocabulary: list[bytes], idf: np.ndarray, told: list, nearest: int) ->
     prior = (sum(r.toxic for r in told) + 0.1) / (len(told) + 1)
     without = [r.toxic for r in told if not r.terms]
     none = (sum(without) + prior) / (len(without) + 1)
-    model = Model(vocabulary, idf, np.zeros((0, len(vocabulary)), np.float64), np.zeros((0, len(vocabulary))), np.zeros(0), np.zeros(0, np.int64), np.full(BINS, prior), none)
+    model = Model(vocabulary, idf, np.zeros((0, len(vocabulary), BLOCK)), np.zeros((len(vocabulary), 0)), np.zeros(0), np.zeros(0, np.int64), np.full(BINS, prior), none)
     vectors = [(r, model.vector(dict(zip(r.terms, r.counts, strict=True)))) for r in told if r.terms]
     if not vectors:
         return model
     vectors.sort(key=lambda x: (int(x[1][0][np.argmax(x[1][1])]), x[0].toxic, x[0].doc_id))
-    model.weights = np.zeros((len(vectors), len(vocabulary)))
+    model.blocks = np.zeros((-(-len(vectors) // BLOCK), len(vocabulary), BLOCK))
     for k, (_, (t, v)) in enumerate(vectors):
-        model.weights[k, t] = v
-    model.maxima = np.maximum.reduceat(model.weights, np.arange(0, len(vectors), BLOCK), axis=0)
+        model.blocks[k // BLOCK, t, k % BLOCK] = v
+    model.maxima = np.ascontiguousarray(model.blocks.max(axis=2).T)
     model.toxic = np.array([float(r.toxic) for r, _ in vectors])
     model.ids = np.array([r.doc_id for r, _ in vectors])
     votes = np.array([model.vote(*model.nearest(t, v, nearest, but=k)) for k, (_, (t, v)) in enumerate(vectors)])
