@@ -18,7 +18,9 @@ documents link when the Jaccard similarity of their sets of ``shingle``-word shi
   parts that aren't bad leave necessary. Sets that meet in heavy groups form families, which are cut into
   blocks of about FAMILY_BLOCK by a hash; each pair of blocks is compared in one task by products of
   their incidence matrices, and returns what each set is connected to there, never the pairs.
-- A comparison intersects the sorted 64-bit shingle hashes.
+- Sets that candidates connect are families, too, so that a set is sent once and not once a pair. Where
+  such a family has more than FAMILY_BLOCK sets, its candidates are compared pair by pair instead, by
+  intersecting the sorted 64-bit shingle hashes.
 
 Result: a row per input row with doc_id, n_shingles, class_id (the smallest doc_id with an equal set)
 and component_id. A null or empty
@@ -44,7 +46,7 @@ LIGHT = 8
 SPARE = 4
 FAMILY_BLOCK = 400
 COLUMNS = 4096
-SMALL_LIST = 1_000_000  # doc_ids that may be sent to all executors, 8 MB
+SMALL_LIST = 1_000_000  # rows of doc_ids, with their family, that may be sent to all executors, 20 MB
 
 
 def sets(piece: Piece, shingle: int) -> list[np.ndarray]:
@@ -163,7 +165,11 @@ def similar(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD)
     wanted = stored(ids.distinct(), "wanted")
     wanted = F.broadcast(wanted) if wanted.count() <= SMALL_LIST else wanted
     own = stored(docs.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(shingle), "doc_id bigint, own binary").distinct(), "sets")
-    links = stored(_compared(pairs, own, threshold).union(_family_links(members, own, threshold)), "similar")
+    links = _family_links(_families(members.join(members.groupBy("sign").agg(F.min("doc_id").alias("hub")), "sign"), "hub", "doc_id"), own, threshold)
+    near = stored(_families(pairs, "a", "b"), "families")
+    links = links.union(_family_links(near.where("blocks = 1"), own, threshold))
+    large = pairs.join(near.where("blocks > 1").select(F.col("node").alias("a")), "a", "left_semi")
+    links = stored(links.union(_compared(large, own, threshold)), "similar")
     # a doc_id with several rows ties the classes of all of them
     tied = told.select("doc_id", "n_shingles", "d1", "d2").join(classes, ["n_shingles", "d1", "d2"])
     nodes = links.union(tied.where("class_id <> doc_id").select(F.col("class_id").alias("a"), F.col("doc_id").alias("b")))
@@ -205,12 +211,17 @@ def _within(threshold: int):
     return run
 
 
-def _family_links(members: DataFrame, own: DataFrame, threshold: int) -> DataFrame:
-    """Links that connect what the pairs within heavy groups connect."""
-    hubs = members.groupBy("sign").agg(F.min("doc_id").alias("hub"))
-    family = components(members.join(hubs, "sign").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")), "a", "b")
-    sizes = family.groupBy("component").agg(F.ceil(F.count("*") / FAMILY_BLOCK).cast("int").alias("blocks"))
-    rows = family.join(sizes, "component").join(own, F.col("node") == F.col("doc_id"))
+def _families(edges: DataFrame, a: str, b: str) -> DataFrame:
+    """(node, component, blocks) of all nodes that edges connect."""
+    family = components(edges, a, b)
+    return family.join(family.groupBy("component").agg(F.ceil(F.count("*") / FAMILY_BLOCK).cast("int").alias("blocks")), "component")
+
+
+def _family_links(families: DataFrame, own: DataFrame, threshold: int) -> DataFrame:
+    """Links that connect what the pairs within families connect."""
+    families = stored(families, "families")
+    families = F.broadcast(families) if families.count() <= SMALL_LIST else families
+    rows = own.join(families, F.col("node") == F.col("doc_id"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("component", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "doc_id", "block", "own")
     return rows.groupBy("component", "x", "y").applyInArrow(_within(threshold), "a bigint, b bigint")
