@@ -44,7 +44,7 @@ def op3(docs: DataFrame) -> DataFrame:
 
 @query("op7_line_dedup", "documents")
 def op7(docs: DataFrame) -> DataFrame:
-    cut = line_dedup.remove_lines(docs)
+    cut = line_dedup.remove_lines(docs, run=1)
     return cut.select("doc_id", F.col("n_removed_lines").alias("n_removed"), F.sha2("text", 256).alias("kept_sha256"))
 
 
