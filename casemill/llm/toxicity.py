@@ -15,9 +15,12 @@ Training, from labelled rows only:
 Scoring a document: the block maxima bound the cosine in each block from above; blocks are visited
 from the largest bound down until the bound falls below the k-th best cosine, so the k nearest are
 exact (ties by place in the index). Their labels vote with cosine as weight. A vote becomes a score by
-the share of toxic examples among examples of a like vote (leave one out), made monotone. Texts
-without any term, empty and null ones among them, get the share of toxic examples among examples
-without terms. ``evidence`` lists the neighbours' doc_ids and cosines.
+the share of toxic examples among examples of a like vote (leave one out), made monotone.
+
+Texts without any kept term are held against all words of all examples (``_whole``): the nearest vote,
+and the vote becomes a score by the examples that have no kept term either. Only texts that share no
+word with any example, empty and null ones among them, get the share of toxic examples among examples
+without kept terms. ``evidence`` lists doc_ids and cosines of the neighbours that voted.
 
 Nothing but the text enters a score. Labels that are null are ignored; a doc_id labelled twice trains
 twice. With no labelled row of either class every score is the smoothed share of toxic rows.
@@ -32,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from . import _whole
 from ._shared import small_batches, stored, texts
 
 EXAMPLES = 8000
@@ -92,6 +96,16 @@ class Features:
         return counts
 
 
+def _without(terms: list[bytes]):
+    """Makes the test whether a text has none of the terms."""
+
+    def test():
+        features = Features(terms)
+        return lambda text: not features(text)
+
+    return test
+
+
 def _frequencies(terms: list[bytes]):
     def run(batches):
         features, total, rows = Features(terms), np.zeros(len(terms), dtype=np.int64), 0
@@ -117,7 +131,7 @@ def _counted(terms: list[bytes]):
 
 
 @dataclass
-class Model:
+class Model(_whole.Packed):
     terms: list[bytes]
     idf: np.ndarray
     blocks: np.ndarray  # block x term x example, vectors of length 1
@@ -126,6 +140,7 @@ class Model:
     ids: np.ndarray
     levels: np.ndarray  # score of each bin of votes
     none: float  # score of texts without terms
+    whole: _whole.Whole | None = None  # all words of the examples, for texts without terms
 
     @property
     def weights(self) -> np.ndarray:
@@ -171,6 +186,20 @@ class Model:
             return self.none, places, cosines
         return float(self.levels[min(BINS - 1, int(self.vote(places, cosines) * BINS))]), places, cosines
 
+    def scores(self, own: list[bytes], features: Features, k: int) -> list[tuple[float, list[int], list[float]]]:
+        """Score, doc_ids and cosines of each text; those without a neighbour by terms are held against all words."""
+        out, bare = [], []
+        for text in own:
+            score, places, cosines = self.score(features(text), k)
+            if not len(places) and self.whole is not None:
+                bare.append(len(out))
+            out.append((score, self.ids[places].tolist(), cosines.tolist()))
+        whole = self.whole
+        for row, (places, cosines) in zip(bare, whole.nearest([whole.vector(_whole.bag(own[x], _LETTERS)) for x in bare], k) if bare else [], strict=True):
+            if len(places):
+                out[row] = float(whole.levels[min(BINS - 1, int(whole.vote(places, cosines) * BINS))]), whole.ids[places].tolist(), cosines.tolist()
+        return out
+
 
 def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int = TERMS, nearest: int = NEAREST) -> Model:
     """A model from the labelled rows; ``labels`` has doc_id and toxic."""
@@ -192,7 +221,20 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int
     counts = {r.term: r.df for r in docs.mapInArrow(_frequencies(vocabulary), "term bigint, df bigint").groupBy("term").agg(F.sum("df").alias("df")).collect()} if vocabulary else {}
     idf = np.array([np.log(1 + (counts.get(-1) or 0) / (1 + (counts.get(t) or 0))) for t in range(len(vocabulary))])
     told = rows.mapInArrow(_counted(vocabulary), "doc_id bigint, toxic int, terms array<bigint>, counts array<bigint>").collect()
-    return index(vocabulary, idf, told, nearest)
+    model = index(vocabulary, idf, told, nearest)
+    model.whole = _whole.build(docs, rows, _LETTERS)
+    if model.whole is not None:
+        _, toxic, votes = _whole.votes(model.whole, rows, _without(vocabulary), _LETTERS, nearest)
+        model.whole.levels = levels(votes, toxic)
+    return model
+
+
+def levels(votes: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """The score of each bin of votes: the share of toxic examples there, made monotone."""
+    bins = np.minimum(BINS - 1, (votes * BINS).astype(int))
+    ones, all_ = np.bincount(bins, toxic, BINS), np.bincount(bins, minlength=BINS)
+    middle = (np.arange(BINS) + 0.5) / BINS
+    return np.maximum.accumulate((ones + middle) / (all_ + 1))
 
 
 def index(vocabulary: list[bytes], idf: np.ndarray, told: list, nearest: int) -> Model:
@@ -213,10 +255,7 @@ def index(vocabulary: list[bytes], idf: np.ndarray, told: list, nearest: int) ->
     model.toxic = np.array([float(r.toxic) for r, _ in vectors])
     model.ids = np.array([r.doc_id for r, _ in vectors])
     votes = np.array([model.vote(*model.nearest(t, v, nearest, but=k)) for k, (_, (t, v)) in enumerate(vectors)])
-    bins = np.minimum(BINS - 1, (votes * BINS).astype(int))
-    ones, all_ = np.bincount(bins, model.toxic, BINS), np.bincount(bins, minlength=BINS)
-    middle = (np.arange(BINS) + 0.5) / BINS
-    model.levels = np.maximum.accumulate((ones + middle) / (all_ + 1))
+    model.levels = levels(votes, model.toxic)
     return model
 
 
@@ -225,12 +264,8 @@ def _scorer(model, nearest: int):
         m = model.value
         features = Features(m.terms)
         for batch in batches:
-            scores, near, cosines = [], [], []
-            for text in texts(batch):
-                score, places, found = m.score(features(text), nearest)
-                scores.append(score)
-                near.append(m.ids[places].tolist())
-                cosines.append(found.tolist())
+            told = m.scores(list(texts(batch)), features, nearest)
+            scores, near, cosines = ([x[c] for x in told] for c in range(3))
             yield pa.record_batch([batch.column(batch.schema.get_field_index("rest")), pa.array(scores, pa.float64()), pa.array(near, pa.list_(pa.int64())), pa.array(cosines, pa.list_(pa.float64()))], names=["rest", "score", "evidence", "cosines"])
 
     return run
