@@ -6,7 +6,7 @@ from pyspark.sql import Column, functions as F
 
 # Prefixes dropped from descriptions, one after the other.
 DESCRIPTION_PREFIXES = ("Betaling:", "Payment:", "Transfer:")
-DESCRIPTION_LENGTH = 1000
+DESCRIPTION_LENGTH = 1000  # the reference cuts descriptions to so many characters
 
 # Keyword groups, the first that matches names the category.
 CATEGORY_WORDS = {
@@ -42,12 +42,13 @@ def contains_any(c: Column, words) -> Column:
     return F.coalesce(hit, F.lit(False))
 
 
-def clean_description(c: Column) -> Column:
+def clean_description(c: Column, length: int | None = None) -> Column:
+    """One line without prefixes: the whole text, or its first ``length`` characters (DESCRIPTION_LENGTH for the reference's cut)."""
     text = F.trim(F.regexp_replace(c, r"\s+", " "))
     for prefix in DESCRIPTION_PREFIXES:
         rest = F.trim(text.substr(F.lit(len(prefix) + 1), F.length(text)))
         text = F.when(text.startswith(prefix), rest).otherwise(text)
-    return F.when(F.length(c) > 0, F.substring(text, 1, DESCRIPTION_LENGTH))
+    return F.when(F.length(c) > 0, text if length is None else F.substring(text, 1, length))
 
 
 def category(c: Column) -> Column:

@@ -87,8 +87,8 @@ def computed_once(df: DataFrame) -> DataFrame:
     return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
 
 
-def map_transactions(raw: DataFrame) -> DataFrame:
-    """Raw bank rows in canonical columns, not yet validated."""
+def map_transactions(raw: DataFrame, description_length: int | None = None) -> DataFrame:
+    """Raw bank rows in canonical columns, not yet validated; descriptions whole unless a length is given."""
     j = F.from_json("raw_data", BANK_JSON)
     r = raw.withColumn("j", j)
     day = F.col("datum").cast("string")
@@ -115,7 +115,7 @@ def map_transactions(raw: DataFrame) -> DataFrame:
         F.col("j.naam_naar").alias("creditor_name"),
         F.when(amount > 0, "credit").when(amount < 0, "debit").otherwise("other").alias("transaction_type"),
         F.lit("wire").alias("payment_method"),
-        text.clean_description(F.col("omschrijving")).alias("description"),
+        text.clean_description(F.col("omschrijving"), description_length).alias("description"),
         F.col("j.kenmerk").alias("reference_number"),
         F.lit(False).alias("is_cancelled"),
         F.coalesce(F.lower("j.is_storno") == "true", F.lit(False)).alias("is_reversal"))
@@ -232,8 +232,8 @@ def validate_communications(df: DataFrame) -> DataFrame:
     return _with_status(df, errors, warnings)
 
 
-def canonical_transactions(raw: DataFrame, as_of: dt.datetime) -> DataFrame:
-    return validate_transactions(map_transactions(raw), as_of)
+def canonical_transactions(raw: DataFrame, as_of: dt.datetime, description_length: int | None = None) -> DataFrame:
+    return validate_transactions(map_transactions(raw, description_length), as_of)
 
 
 def canonical_communications(calls: DataFrame, messages: DataFrame) -> DataFrame:
