@@ -33,7 +33,7 @@ FILE_TYPES = (
     FileType("social_media", (r"(facebook|instagram|twitter|social).*\.json$",),
              ("posts", "friends", "messages", "profile"), "social_media", "social_media_pipeline"),
 )
-JSON_HEAD = 1024  # keywords of a JSON file are looked for in this many leading characters
+JSON_HEAD = 1024  # the reference looks for keywords of a JSON file in this many leading characters
 MIN_KEYWORDS = 2
 
 
@@ -45,14 +45,15 @@ def _choose(pairs, otherwise=None) -> Column:
     return rule if otherwise is None else rule.otherwise(otherwise)
 
 
-def detect_file_types(files: DataFrame) -> DataFrame:
+def detect_file_types(files: DataFrame, json_head: int | None = None) -> DataFrame:
     """Type by file name, else by two keywords in the head, else unknown.
 
-    ``files``: file_name and head (the text the file starts with).
+    ``files``: file_name and head (the text the file starts with). Of a JSON file the whole head is
+    searched, or its first ``json_head`` characters (JSON_HEAD for the reference's rule).
     """
     name = F.lower("file_name")
     first_line = F.lower(F.split_part("head", F.lit("\n"), F.lit(1)))
-    start = F.lower(F.substring("head", 1, JSON_HEAD))
+    start = F.lower("head" if json_head is None else F.substring("head", 1, json_head))
     is_csv, is_json = name.endswith(".csv"), name.endswith(".json")
     text = F.when(is_csv, first_line).when(is_json, start)
 

@@ -23,18 +23,27 @@ def reshape_trade_events(events: DataFrame, received: Column) -> DataFrame:
         F.col("e.m").alias("is_buyer_maker"), received.cast("timestamp_ntz").alias("ingested_at"))
 
 
-def parse_trades(messages: DataFrame) -> DataFrame:
-    """Topic messages (JSON text in ``value``) to typed trades; times are ISO text."""
+def parse_trades(messages: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Topic messages (JSON text in ``value``) to typed trades; times are ISO text. Columns ``keep`` of the messages stay."""
     text = {"timestamp_ntz": "string"}
     schema = ", ".join(f"{c} {text.get(t, t)}" for c, t in TRADE_COLUMNS.items())
-    parsed = messages.select(F.from_json("value", schema).alias("e"))
-    return parsed.select(*[F.col(f"e.{c}").try_cast(t).alias(c) for c, t in TRADE_COLUMNS.items()])
+    parsed = messages.select(F.from_json("value", schema).alias("e"), *(keep or []))
+    return parsed.select(*(keep or []), *[F.col(f"e.{c}").try_cast(t).alias(c) for c, t in TRADE_COLUMNS.items()])
+
+
+def _typed(trades: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    return trades.select(*(keep or []), *[F.col(c).cast(t).alias(c) for c, t in TRADE_COLUMNS.items()])
 
 
 def complete_trades(trades: DataFrame) -> DataFrame:
-    """Typed rows with every field filled, as the trade table demands."""
-    typed = trades.select(*[F.col(c).cast(t).alias(c) for c, t in TRADE_COLUMNS.items()])
-    return typed.na.drop(subset=list(TRADE_COLUMNS))
+    """Typed rows with every field filled, as the trade table demands; ``incomplete_trades`` has all others."""
+    return _typed(trades).na.drop(subset=list(TRADE_COLUMNS))
+
+
+def incomplete_trades(trades: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """The rows that ``complete_trades`` leaves out, with the names of the fields that are null or NaN."""
+    absent = F.concat_ws(",", *[F.when(F.col(c).isNull() | (F.isnan(c) if t == "double" else F.lit(False)), F.lit(c)) for c, t in TRADE_COLUMNS.items()])
+    return _typed(trades, keep).withColumn("missing", absent).where("missing <> ''")
 
 
 def _order() -> Column:

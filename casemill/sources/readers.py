@@ -14,6 +14,7 @@ TOWER_SCHEMA = ("radio string, mcc int, net int, area int, cell bigint, unit int
                 "range bigint, samples bigint, changeable int, created bigint, updated bigint, averageSignal int")
 CASE_PREFIX = "OND-"
 DEFAULT_CASE = "GCS-AUTO"
+PART_FILE = r"^part-\d+-([0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})"
 
 
 def _csv(spark: SparkSession, paths, multiline: bool) -> DataFrame:
@@ -79,12 +80,18 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
 
 
 def scan_latest_file(spark: SparkSession, folder: str) -> DataFrame:
-    """The Parquet file written last in a folder."""
+    """All Parquet files of the write that came last in a folder.
+
+    Part files of one write carry its id in their names; any other file is a write of its own.
+    """
     parts = list_files(spark, folder).where(F.col("path").endswith(".parquet"))
+    name = F.element_at(F.split("path", "/"), -1)
+    write = F.regexp_extract(name, PART_FILE, 1)
+    parts = parts.withColumn("write", F.when(write != "", write).otherwise(F.col("path")))
     newest = parts.orderBy(F.desc("created"), F.desc("path")).limit(1).first()
     if newest is None:
         raise FileNotFoundError(f"no data file in {folder}")
-    return spark.read.parquet(newest["path"])
+    return spark.read.parquet(*sorted(r["path"] for r in parts.where(F.col("write") == newest["write"]).collect()))
 
 
 def discover_files(spark: SparkSession, root: str, since: dt.datetime | None = None) -> DataFrame:
@@ -125,9 +132,12 @@ def read_jdbc(spark: SparkSession, url: str, table: str, column: str, low, high,
     return reader.load()
 
 
-def topic_stream(spark: SparkSession, servers: str, topic: str, per_trigger: int = 1000) -> DataFrame:
-    """JSON events of a topic as text, from the newest on (needs the Kafka connector)."""
+def topic_stream(spark: SparkSession, servers: str, topic: str, starting: str, per_trigger: int) -> DataFrame:
+    """JSON events of a topic as text (needs the Kafka connector).
+
+    ``starting`` holds for the first start only: ``earliest``, ``latest`` (older events are lost) or offsets as JSON.
+    """
     raw = spark.readStream.format("kafka").options(
-        **{"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": "latest",
+        **{"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting,
            "maxOffsetsPerTrigger": str(per_trigger)}).load()
     return raw.select(F.col("value").cast("string").alias("value"))

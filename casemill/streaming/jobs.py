@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.canonical import canonical_transactions
 from ..operators.intake import detect_file_types
 from ..operators.keyed import newest_per_key, upsert_partial
-from ..plans.market import TRADE_COLUMNS, candle_parts, complete_trades, merge_parts, parse_trades
+from ..plans.market import TRADE_COLUMNS, candle_parts, complete_trades, incomplete_trades, merge_parts, parse_trades
 
 BATCH = "batch"
 
@@ -32,15 +32,18 @@ def file_stream(spark: SparkSession, path: str, schema: str, form: str = "parque
             .option("recursiveFileLookup", True).load(path))
 
 
-def stream_trades_bronze(spark: SparkSession, source: str, sink: str, checkpoint: str, per_batch: int = 1000) -> None:
+def stream_trades_bronze(spark: SparkSession, source: str, sink: str, checkpoint: str, per_batch: int = 1000, rejects: str | None = None) -> None:
     """JSON trade events to the trade table; an event delivered again is dropped.
 
+    Messages that give no whole trade go to the table ``rejects`` (default: ``sink`` with ``_rejects``
+    behind it), with the message as it came and the names of the fields that are missing.
     Only stored trades of the days and times a batch touches are looked at.
     """
     table = ", ".join(f"{c} {t}" for c, t in TRADE_COLUMNS.items()) + f", event_date string, {BATCH} int"
     spark.createDataFrame([], table).write.mode("append").partitionBy("event_date", BATCH).parquet(sink)
 
     def store(messages: DataFrame, batch_id: int) -> None:
+        write_batch(incomplete_trades(parse_trades(messages, keep=["value"]), keep=["value"]), rejects or f"{sink.rstrip('/')}_rejects", batch_id)
         trades = newest_per_key(complete_trades(parse_trades(messages)), ["symbol", "trade_id"], ["event_time"])
         trades = trades.withColumn("event_date", F.date_format("event_time", "yyyy-MM-dd"))
         span = trades.agg(F.min("event_time").alias("lo"), F.max("event_time").alias("hi")).first()
