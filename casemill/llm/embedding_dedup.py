@@ -4,9 +4,11 @@
   with nothing. Equal vectors of one label are compared once and count as often as they occur.
 - Spherical k-means on at most ``sample`` distinct vectors (those of least hash of vec_id) gives
   centroids, one for about ``per_cell`` vectors but MOST_CELLS at most, so that they can be sent to all
-  tasks. Every vector has a home, the cell of its largest cosine, and also visits the cells whose
-  cosine falls short of that by ``margin`` at most. With margin 2 every pair meets; smaller values trade
-  recall for work (the tests measure it against brute force).
+  tasks. Every vector has a home, the cell of its largest cosine, and also visits the cells whose cosine
+  falls short of that by sqrt(2 - 2 * cosine) / 2 times the distance of both centroids at most. Between
+  the homes of a link's ends the shortfalls add up to no more than twice that (Cauchy-Schwarz), so one end
+  visits the other's home and no link is lost, at any number of cells. A ``margin`` sets one shortfall
+  for all cells in place of this: with 2 every pair meets, smaller values trade recall for work.
 - Within a label and cell, vectors are dealt into blocks of about BLOCK by a hash, and each pair of
   blocks is one group of rows for one task: so a cell that holds a third of all vectors is spread over
   many tasks. A pair is compared at the home of one of its vectors; where both homes see it, only in
@@ -31,7 +33,6 @@ COSINE = 0.93
 SAMPLE = 20_000
 PER_CELL = 4_000
 MOST_CELLS = 1_024
-MARGIN = 0.15
 BLOCK = 1_500
 ROUNDS = 10
 
@@ -54,17 +55,20 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _cells(model, margin: float):
+def _cells(model, cosine_of_links: float, margin: float | None):
     """(node, home, cells) of each vector."""
 
     def run(batches):
+        x = model.value
+        apart = np.sqrt(np.maximum(0, (x * x).sum(1)[:, None] + (x * x).sum(1) - 2 * x @ x.T))
+        allowed = np.sqrt(2 - 2 * cosine_of_links) / 2 * apart + 1e-6 if margin is None else np.full(apart.shape, margin)
         for batch in batches:
             node, column = batch.column(0), batch.column(1)
             if not len(column):
                 continue
             cosine = _matrix(column) @ model.value.T
             home = np.argmax(cosine, axis=1)
-            near = cosine >= cosine[np.arange(len(home)), home][:, None] - margin
+            near = cosine >= cosine[np.arange(len(home)), home][:, None] - allowed[home]
             rows, cells = np.nonzero(near)
             ends = np.concatenate([[0], np.cumsum(near.sum(axis=1))])
             yield pa.record_batch([node, batch.column(2), column, pa.array(home, pa.int32()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(cells, pa.int32()))], names=["node", "n", "embedding", "home", "cells"])
@@ -119,7 +123,7 @@ def _compared(cosine: float):
     return run
 
 
-def near_duplicates(vectors: DataFrame, cosine: float = COSINE, sample: int = SAMPLE, per_cell: int = PER_CELL, margin: float = MARGIN) -> DataFrame:
+def near_duplicates(vectors: DataFrame, cosine: float = COSINE, sample: int = SAMPLE, per_cell: int = PER_CELL, margin: float | None = None) -> DataFrame:
     """(vec_id, n_links, component_id, kept) per row of ``vectors`` (vec_id, embedding, label)."""
     spark = vectors.sparkSession
     x = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), F.col("label"))
@@ -134,7 +138,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, sample: int = SA
         picked = own.select("node", "embedding").orderBy(F.xxhash64("node"), "node").limit(sample).toArrow()
         cells = max(1, min(MOST_CELLS, -(-count // per_cell), len(picked)))
         model = spark.sparkContext.broadcast(centroids(_matrix(picked["embedding"].combine_chunks()), cells))
-        placed = own.select("node", "embedding", "n", "label").mapInArrow(_labelled(_cells(model, margin)), "node bigint, n bigint, embedding array<double>, home int, cells array<int>, label string")
+        placed = own.select("node", "embedding", "n", "label").mapInArrow(_labelled(_cells(model, cosine, margin)), "node bigint, n bigint, embedding array<double>, home int, cells array<int>, label string")
         placed = stored(placed, "placed")
         member = placed.withColumn("cell", F.explode("cells"))
         sizes = member.groupBy("label", "cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
