@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import prepare
-from . import chat, embedding_dedup, hamming_search, licenses, line_dedup, mixing, ngram_join, sentencepiece, substring_dedup, toxicity
+from . import chat, collocations, divergence, embedding_dedup, hamming_search, licenses, line_dedup, mixing, ngram_join, sentencepiece, substring_dedup, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -111,3 +111,75 @@ SELECT * FROM (
 WHERE rank <= 10""")
 def op9(vectors: DataFrame) -> DataFrame:
     return hamming_search.top_k(vectors)
+
+
+@query("op11_collocations", "documents", r"""
+WITH pieces AS (
+  SELECT lang, row_number() OVER () AS i, regexp_extract_all(piece, '[^ \t]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents) d),
+places AS (SELECT lang, i, unnest(w) AS x, generate_subscripts(w, 1) AS k FROM pieces),
+runs AS (
+  SELECT lang, x, x || ' ' || lead(x, 1) OVER o AS x2, x || ' ' || lead(x, 1) OVER o || ' ' || lead(x, 2) OVER o AS x3,
+    x || ' ' || lead(x, 1) OVER o || ' ' || lead(x, 2) OVER o || ' ' || lead(x, 3) OVER o AS x4
+  FROM places WINDOW o AS (PARTITION BY i ORDER BY k)),
+f AS (
+  SELECT lang, 1 AS m, x AS phrase, count(*) AS f FROM runs GROUP BY ALL
+  UNION ALL SELECT lang, 2, x2, count(*) FROM runs WHERE x2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 30
+  UNION ALL SELECT lang, 3, x3, count(*) FROM runs WHERE x3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 30
+  UNION ALL SELECT lang, 4, x4, count(*) FROM runs WHERE x4 IS NOT NULL GROUP BY ALL HAVING count(*) >= 30),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
+candidates AS (SELECT lang, m, phrase, string_split(phrase, ' ') AS w, f AS a FROM f WHERE m > 1),
+cuts AS (SELECT *, unnest(generate_series(1, m - 1)) AS k FROM candidates),
+scored AS (
+  SELECT c.lang, c.phrase, c.m, c.a, k, x.f AS l, y.f AS r, CAST((2000000::HUGEINT * c.a) // (x.f + y.f) AS BIGINT) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:k], ' ') JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:c.m], ' ')
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, phrase, max(a) AS longer
+  FROM (SELECT lang, a, array_to_string(w[s:s + z - 1], ' ') AS phrase
+        FROM (SELECT *, unnest(generate_series(1, m - z + 1)) AS s FROM (SELECT *, unnest(generate_series(2, m - 1)) AS z FROM candidates WHERE m > 2) t) u) v
+  GROUP BY ALL)
+SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank, s.phrase, a, l, r, n, score
+FROM scored s JOIN totals t ON t.lang = s.lang LEFT JOIN inside i ON i.lang = s.lang AND i.phrase = s.phrase
+WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a
+QUALIFY rank <= 2000""")
+def op11(docs: DataFrame) -> DataFrame:
+    return collocations.collocations(docs)
+
+
+@query("op12_source_divergence", "documents", r"""
+WITH tokens AS (
+  SELECT i, lang, source, unnest(regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS t FROM documents) d),
+kept AS (SELECT lang, term FROM tokens GROUP BY ALL HAVING count(DISTINCT i) >= 10),
+sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+counts AS (SELECT t.lang, t.source, t.term, count(*) AS n FROM tokens t JOIN kept USING (lang, term) GROUP BY ALL),
+cells AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, v, sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source) AS total
+  FROM groups g JOIN kept k USING (lang) JOIN sizes USING (lang) LEFT JOIN counts c ON (c.lang, c.source, c.term) = (g.lang, g.source, k.term)),
+p AS (SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 2)) // (total + 2 * v) AS p FROM cells),
+q AS (
+  SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER (PARTITION BY lang) + 2 * v) AS q
+  FROM (SELECT lang, term, sum(n) AS n, any_value(v) AS v FROM cells GROUP BY ALL) s),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)), 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN p x ON (x.lang, x.source) = (a.lang, a.source)
+    LEFT JOIN p y ON (y.lang, y.source, y.term) = (b.lang, b.source, x.term)
+  GROUP BY ALL
+  UNION ALL
+  SELECT p.lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM found QUALIFY part = 'pair' OR rank <= 10""")
+def op12(docs: DataFrame) -> DataFrame:
+    return divergence.audit(docs)
+
+
+@query("op13_warc", "pages", """
+SELECT page_id, bytes AS payload_bytes, payload_digest, CASE WHEN page_id > least THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id > least THEN least END AS refers_to
+FROM (SELECT page_id, CAST(strlen(html) AS BIGINT) AS bytes, sha256(html) AS payload_digest, CASE WHEN strlen(html) >= 100 THEN min(page_id) OVER (PARTITION BY html) END AS least
+      FROM (SELECT page_id, coalesce(html, '') AS html FROM pages) p) d""")
+def op13(pages: DataFrame) -> DataFrame:
+    captured = F.timestamp_seconds(F.lit(1_700_000_000) + F.pmod("page_id", F.lit(100_000_000)))
+    index = warc.merged_index(pages.sparkSession, warc.write_archives(pages, captured))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
