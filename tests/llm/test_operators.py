@@ -248,7 +248,8 @@ def test_line_query_has_the_same_rows_as_its_statement(spark):
     import duckdb
 
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{SF}/conversations.parquet'; CREATE VIEW embeddings AS SELECT * FROM '{SF}/embeddings.parquet'")
+    for table in ("conversations", "documents", "embeddings", "pages"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     for name, sql in queries.SQL.items():
         df = queries.QUERIES[name](spark, SF)
         told = con.execute(sql)
