@@ -3,13 +3,14 @@
 A null text, lang or source counts as ''. Terms are runs of letters A to Z and of code points from 128,
 with A to Z in lower case. Each lang keeps the V terms that stand in at least ``MIN_DF`` of its documents.
 
-- CountVectorizer with minDF and the largest integer as vocabSize builds sparse vectors. One fit serves all
-  langs, as each token carries its lang behind a character that no term holds; so the vocabulary is kept per
-  lang. The vocabulary goes through the driver, so this way is taken only while it provably has at most
-  ``MOST_TERMS`` entries: no lang can keep more terms than the distinct terms of its documents, summed, over
-  MIN_DF. Beyond that the same counts are made by ``shuffled_counts``, with no list of terms anywhere.
-- The sums of the vectors of a (lang, source) are made as a Summarizer makes them, but sparse: one row for
-  each term that stands there, summed before the shuffle.
+- Texts are cut into terms once, and the terms are stored; each carries its lang behind a character that no term
+  holds, so one vocabulary serves all langs and is kept per lang.
+- The terms in at least MIN_DF rows are counted by an aggregation, with no limit to their number (minDF, and the
+  largest integer as vocabSize). At most ``MOST_TERMS`` of them become the vocabulary of a CountVectorizerModel, which
+  builds the sparse vectors; fitting it would count them once more (README has the figures). More terms than that
+  are never gathered anywhere: ``shuffled_counts`` makes the same counts by a join.
+- Group sums are made as a Summarizer makes them, but sparse: each task adds up the vectors of a (lang, source), and
+  one row for each term that stands there leaves it.
 - Pairs of sources are compared by term blocks. A source's terms are held against all sources of a block: with
   x(A, B) the sum of f over terms of A, y(A, B) that over the terms of both and m(A, B) their number, the value
   is x(A, B) + x(B, A) - y(A, B) + f0 (V - |A| - |B| + m), where f0 is f of a term that neither has. Only
@@ -23,20 +24,23 @@ of value 0 and no terms; repeated rows count as often as they stand. Columns oth
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import CountVectorizer
+import pyarrow.compute as pc
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ._shared import stored
+from ._shared import small_batches, stored, texts
 
 MIN_DF = 10
 MOST_TERMS = 4_000_000
-LARGEST_INTEGER = 2**31 - 1
 TOP = 10
 SOURCES = 256  # of a block
 CELLS = 1 << 21  # sources times terms of a block, about
-PARTS = {"upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "lower": "abcdefghijklmnopqrstuvwxyz", "term": "[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+"}
+_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+_TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")  # in UTF-8, bytes from 128 are those of code points from 128
 BEHIND = "\x00"  # between term and lang
 
 
@@ -44,38 +48,79 @@ def _p(count: str, n: str, v: str) -> Column:
     return F.expr(f"1 + (CAST(1000000000 AS DECIMAL(10, 0)) * (CAST({count} AS DECIMAL(20, 0)) + 2)) div (CAST({n} AS DECIMAL(20, 0)) + 2 * {v})")
 
 
+def _terms(batches):
+    for batch in batches:
+        of_row = [_TERM.findall(text.translate(_LOWER)) for text in texts(batch)]
+        ends = np.cumsum([0, *map(len, of_row)]).astype(np.int32)
+        lang = batch.column(batch.schema.get_field_index("lang"))
+        flat = pa.array([t for own in of_row for t in own], pa.binary()).cast(pa.string())
+        of_lang = lang.take(pa.array(np.repeat(np.arange(len(of_row)), np.diff(ends))))
+        marked = pc.binary_join_element_wise(flat, of_lang, pa.scalar(BEHIND))
+        yield pa.record_batch([lang, batch.column(batch.schema.get_field_index("source")), pa.ListArray.from_arrays(pa.array(ends), marked)], names=["lang", "source", "terms"])
+
+
 def tokens(docs: DataFrame) -> DataFrame:
-    """(lang, source, terms): the terms of each row, in order."""
-    text = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), PARTS["upper"], PARTS["lower"])
+    """(lang, source, terms): the terms of each row, in order, each with its lang behind it."""
+    small_batches(docs.sparkSession, 500)
     lang, source = (F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source"))
-    return docs.select(lang, source, F.regexp_extract_all(text, F.lit(PARTS["term"]), F.lit(0)).alias("terms"))
-
-
-def vectorised_counts(rows: DataFrame, min_df: int) -> DataFrame:
-    """(lang, source, term, n) of kept terms, by CountVectorizer and sparse group sums."""
-    marked = rows.select("lang", "source", F.transform("terms", lambda t: F.concat(t, F.lit(BEHIND), F.col("lang"))).alias("terms"))
-    model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_df), vocabSize=LARGEST_INTEGER).fit(marked) if not marked.isEmpty() else None
-    if model is None or not model.vocabulary:
-        return rows.sparkSession.createDataFrame([], "lang string, source string, term string, n bigint")
-    vector = F.unwrap_udt(F.col("vector"))
-    cells = model.transform(marked).select("lang", "source", F.explode(F.arrays_zip(vector["indices"].alias("place"), vector["values"].alias("n"))).alias("cell"))
-    sums = cells.groupBy("lang", "source", F.col("cell.place").alias("place")).agg(F.sum(F.col("cell.n").cast("bigint")).alias("n"))
-    known = rows.sparkSession.createDataFrame(pa.table({"place": pa.array(range(len(model.vocabulary)), pa.int32()), "word": pa.array(model.vocabulary, pa.string())}))
+    return docs.select(lang, source, F.col("text").cast("string").alias("text")).mapInArrow(_terms, "lang string, source string, terms array<string>")
+
+
+def document_frequencies(rows: DataFrame, min_df: int) -> DataFrame:
+    """(word, df) of the terms in at least ``min_df`` rows, each with its lang."""
+    return rows.select(F.explode(F.array_distinct("terms")).alias("word")).groupBy("word").agg(F.count("*").alias("df")).where(F.col("df") >= min_df)
+
+
+def _group_sums(batches):
+    """(lang, source, place, n): sparse sums of the vectors of each group that this task sees."""
+    names, held, size = {}, [], 0
+
+    def summed():
+        key = np.concatenate([k for k, _ in held])
+        order = np.argsort(key, kind="stable")
+        key, n = key[order], np.concatenate([n for _, n in held])[order]
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        return key[first], np.add.reduceat(n, first)
+
+    for batch in batches:
+        lang, source, vector = batch.columns
+        places, values = vector.field("indices"), vector.field("values")
+        of_row = np.array([names.setdefault(x, len(names)) for x in zip(lang.to_pylist(), source.to_pylist(), strict=True)], np.int64)
+        group = np.repeat(of_row, np.diff(places.offsets.to_numpy()))
+        held.append((group << 32 | places.flatten().to_numpy().astype(np.int64), values.flatten().to_numpy().astype(np.int64)))
+        size += len(group)
+        if size > CELLS:
+            held = [summed()]
+            size = len(held[0][0]) // 2  # the next sum is made when as much again has come
+    if size:
+        key, n = summed()
+        every = list(names)
+        of_group = [pa.array([x[i] for x in every], pa.string()) for i in (0, 1)]
+        for a in range(0, len(key), 50_000):
+            some = key[a : a + 50_000]
+            yield pa.record_batch([*(x.take(pa.array(some >> 32)) for x in of_group), pa.array((some & 0xFFFFFFFF).astype(np.int32)), pa.array(n[a : a + 50_000])], names=["lang", "source", "place", "n"])
+
+
+def vectorised_counts(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """(lang, source, term, n) of kept terms, by a CountVectorizerModel and sparse group sums."""
+    words = kept.select("word").toArrow()["word"].combine_chunks()
+    words = words.take(pc.sort_indices(words))
+    model = CountVectorizerModel.from_vocabulary(words.to_pylist(), inputCol="terms", outputCol="vector")
+    vectors = model.transform(rows).select("lang", "source", F.unwrap_udt(F.col("vector")).alias("vector"))
+    sums = vectors.mapInArrow(_group_sums, "lang string, source string, place int, n bigint").groupBy("lang", "source", "place").agg(F.sum("n").alias("n"))
+    known = rows.sparkSession.createDataFrame(pa.table({"place": pa.array(range(len(words)), pa.int32()), "word": words}))
     return sums.join(known, "place").select("lang", "source", F.substring_index("word", BEHIND, 1).alias("term"), "n")
 
 
-def shuffled_counts(rows: DataFrame, min_df: int) -> DataFrame:
-    """The same without a vocabulary on the driver: document frequencies and sums from one row for each term of a (lang, source)."""
-    counted = rows.withColumn("row", F.monotonically_increasing_id()).select("lang", "source", "row", F.explode("terms").alias("term"))
-    counted = counted.groupBy("lang", "source", "row", "term").agg(F.count("*").alias("n"))
-    sums = stored(counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.count("*").alias("df")), "term-sums")
-    kept = sums.groupBy("lang", "term").agg(F.sum("df").alias("df")).where(F.col("df") >= min_df)
-    return sums.drop("df").join(kept.select("lang", "term"), ["lang", "term"], "left_semi").select("lang", "source", "term", "n")
+def shuffled_counts(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """The same without a vocabulary on the driver: one row for each term of a (lang, source) leaves a task."""
+    sums = rows.select("lang", "source", F.explode("terms").alias("word")).groupBy("lang", "source", "word").agg(F.count("*").alias("n"))
+    return sums.join(kept.select("word"), "word", "left_semi").select("lang", "source", F.substring_index("word", BEHIND, 1).alias("term"), "n")
 
 
 def kept_counts(rows: DataFrame, min_df: int = MIN_DF, most_terms: int = MOST_TERMS) -> DataFrame:
-    bound = rows.agg(F.sum(F.size(F.array_distinct("terms"))).alias("n")).first().n or 0
-    return vectorised_counts(rows, min_df) if bound // min_df <= most_terms else shuffled_counts(rows, min_df)
+    kept = stored(document_frequencies(rows, min_df), "kept-terms")
+    return vectorised_counts(rows, kept) if 0 < kept.count() <= most_terms else shuffled_counts(rows, kept)
 
 
 def _f(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -87,12 +132,14 @@ def _pair_sums(key, table):
     x_block, y_block = key[2].as_py(), key[3].as_py()
     block, name, term, p, p0 = (table.column(c).combine_chunks() for c in ("block", "source", "term", "p", "p0"))
     names = name.dictionary_encode()
-    of, columns = names.indices.to_numpy(), term.dictionary_encode().indices.to_numpy()
+    of, columns = names.indices.to_numpy(), term.dictionary_encode().indices.fill_null(-1).to_numpy()
     s, t = len(names.dictionary), int(columns.max()) + 1
     none, blocks = np.zeros(s, np.int64), np.zeros(s, np.int64)
     none[of], blocks[of] = p0.to_numpy(), block.to_numpy()
+    real = columns >= 0
+    of, columns = of[real], columns[real]
     value = np.repeat(none[:, None], t, axis=1)
-    value[of, columns] = p.to_numpy()
+    value[of, columns] = p.to_numpy()[real]
     has = np.zeros((s, t), bool)
     has[of, columns] = True
     others = {b: np.flatnonzero(blocks == b) for b in (x_block, y_block)}
@@ -111,7 +158,10 @@ def _pair_sums(key, table):
 def pair_values(p: DataFrame, groups: DataFrame) -> DataFrame:
     """(lang, source, item, value) of all ordered pairs of sources of a lang; p: (lang, source, term, p, p0), groups: (lang, source, terms, v, p0, block, blocks)."""
     cells = p.join(groups.select("lang", "source", "block", "blocks", "buckets"), ["lang", "source"])
-    cells = cells.withColumn("bucket", F.pmod(F.xxhash64("term"), F.col("buckets"))).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = cells.withColumn("bucket", F.pmod(F.xxhash64("term"), F.col("buckets")))
+    every = groups.where("v > 0").select("lang", "source", F.lit(None).cast("string").alias("term"), F.col("p0").alias("p"), "p0", "block", "blocks", "buckets", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("buckets") - 1)).alias("bucket"))
+    cells = cells.unionByName(every)  # each source has a row in each bucket, whether it has terms there or not
+    cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cells = cells.select("lang", "bucket", F.least("block", "other").alias("bx"), F.greatest("block", "other").alias("by"), "block", "source", "term", "p", "p0")
     sums = cells.groupBy("lang", "bucket", "bx", "by").applyInArrow(_pair_sums, "lang string, source string, item string, x bigint, y bigint, m bigint")
     sums = sums.groupBy("lang", "source", "item").agg(*(F.sum(c).alias(c) for c in "xym"))
@@ -126,7 +176,7 @@ def pair_values(p: DataFrame, groups: DataFrame) -> DataFrame:
 
 def audit(docs: DataFrame, min_df: int = MIN_DF, top: int = TOP, most_terms: int = MOST_TERMS) -> DataFrame:
     """(lang, source, part, item, value, rank): parts ``pair`` and ``term``."""
-    rows = tokens(docs)
+    rows = stored(tokens(docs), "terms")
     counts = stored(kept_counts(rows, min_df, most_terms), "source-terms")
     of_lang = counts.groupBy("lang", "term").agg(F.sum("n").alias("n"), F.count("*").alias("sources"))
     sizes = of_lang.groupBy("lang").agg(F.count("*").alias("v"), F.sum("n").alias("lang_n"))
