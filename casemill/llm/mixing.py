@@ -9,7 +9,7 @@ A document is taken floor(target / size) times whole, and once more if it comes
 seeded order of its source's documents: the order is a hash of seed, doc_id and text, and the limit is
 the value up to which the words come nearest to what the whole repetitions leave open. The limit is
 found from sums over 4096 hash buckets per source and then inside one bucket, so no task sees a
-whole source. A rerun gives the same mix.
+whole source. The shares are sent to the rows if they are few, else the rows of a source are salted. A rerun gives the same mix.
 
 A null text has size 0; a null source is a source of its own, the last one. Rows that repeat doc_id,
 source and text stand at one place of the order and are taken alike. A source without words gets the
@@ -26,6 +26,9 @@ EPOCHS = 3
 SEED = 20240601
 WORD = r"[^\x20\x09-\x0D]+"
 BUCKET_BITS = 12
+SMALL_SOURCES = 100_000  # sources of at most SMALL_BYTES of names in all are sent to all tasks
+SMALL_BYTES = 8 << 20
+SALTS = 64
 
 
 def n_words(text: Column) -> Column:
@@ -94,7 +97,13 @@ def mix(docs: DataFrame, weight: Column | None = None, epochs: int = EPOCHS, see
 
 
 def _with_repeats(rows: DataFrame, shares: DataFrame) -> DataFrame:
-    both = rows.alias("d").join(shares.withColumnRenamed("source", "of").alias("s"), F.expr("d.source <=> s.of"))
+    shares = shares.withColumnRenamed("source", "of")
+    size = shares.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("of")), F.lit(0)).alias("bytes")).first()
+    if size.n <= SMALL_SOURCES and size.bytes <= SMALL_BYTES:
+        both = rows.join(F.broadcast(shares), F.expr("source <=> of"))
+    else:  # rows of one source go to SALTS tasks
+        spread = shares.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        both = rows.withColumn("dealt", F.pmod("place", F.lit(SALTS)).cast("int")).join(spread, F.expr("source <=> of AND dealt = salt"))
     return both.withColumn("repeats", (F.col("whole") + F.when(F.col("place") <= F.col("last"), 1).otherwise(0)).cast("bigint"))
 
 
