@@ -33,10 +33,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ._pieces import Piece, pieces
-from ._shared import U, components, mix, small_batches, stored, window_hashes
+from ._shared import U, components, discard, mix, small_batches, stored, window_hashes
 from .embedding_dedup import connected
 
 SHINGLE = 5
@@ -149,9 +149,10 @@ def similar(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD)
     told = rows.where("doc_id IS NOT NULL")
     classes = told.where("n_shingles > 0").groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("class_id"))
     firsts = told.join(classes.select(F.col("class_id").alias("doc_id"), "n_shingles", "d1", "d2"), ["doc_id", "n_shingles", "d1", "d2"], "left_semi")
-    signs = firsts.select("doc_id", F.explode("signs").alias("s")).select("doc_id", F.col("s").bitwiseAND(F.lit(~255)).alias("sign"), F.col("s").bitwiseAND(F.lit(255)).alias("left"))
-    groups = signs.groupBy("sign").agg(F.count("*").alias("n")).where("n > 1")
-    together = stored(signs.join(groups, "sign").withColumn("band", F.col("sign").bitwiseAND(F.lit(0xFF00))), "together")
+    signs = firsts.select("doc_id", F.explode("signs").alias("s")).withColumn("sign", F.col("s").bitwiseAND(F.lit(~255)))
+    together = signs.withColumn("n", F.count("*").over(W.partitionBy("sign"))).where("n > 1")
+    together = together.select("sign", "doc_id", F.col("s").bitwiseAND(F.lit(255)).alias("left"), "n", F.col("sign").bitwiseAND(F.lit(0xFF00)).alias("band"))
+    together = stored(together, "together")
     heavy = together.where(F.col("n") > LIGHT)
     bad = heavy.groupBy("doc_id", "band").agg(F.count("*").alias("heavy"))
     light = together.where(F.col("n") <= LIGHT).join(bad, ["doc_id", "band"], "left")
@@ -170,6 +171,7 @@ def similar(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD)
     links = links.union(_family_links(near.where("blocks = 1"), own, threshold))
     large = pairs.join(near.where("blocks > 1").select(F.col("node").alias("a")), "a", "left_semi")
     links = stored(links.union(_compared(large, own, threshold)), "similar")
+    discard(together, pairs, members, own, near)
     # a doc_id with several rows ties the classes of all of them
     tied = told.select("doc_id", "n_shingles", "d1", "d2").join(classes, ["n_shingles", "d1", "d2"])
     nodes = links.union(tied.where("class_id <> doc_id").select(F.col("class_id").alias("a"), F.col("doc_id").alias("b")))
