@@ -76,11 +76,60 @@ def tower_search(d):
     return found.select("radio", "mcc", "net", "area", "cell", "lon", "lat", "range", "samples")
 
 
-@query("weather_tower_proximity")
-def weather_tower_proximity(d):
-    return weather.weather_tower_proximity(weather.tower_clean(d.fx_towers), d.fx_stations, _silver(d))
+stage("st_towers", """
+SELECT * EXCLUDE (n, updated) FROM (SELECT *, row_number() OVER (PARTITION BY mcc, net, area, cell, unit ORDER BY nullif(updated, 0) DESC NULLS LAST, samples DESC NULLS LAST) AS n
+  FROM st_tower_rows) q WHERE n = 1""")
+
+# every tower with every station; of towers that share a key over units the nearer one counts
+stage("st_tower_station", """
+SELECT * EXCLUDE (n) FROM (
+  SELECT *, row_number() OVER (PARTITION BY mcc, net, area, cell ORDER BY distance_km, station_name, radio, lon, lat) AS n
+  FROM (SELECT radio, mcc, net, area, cell, lon, lat, station_name,
+          round(6371 * acos(greatest(-1, least(1, cos(radians(lat)) * cos(radians(latitude)) * cos(radians(longitude - lon)) + sin(radians(lat)) * sin(radians(latitude))))), 6) AS distance_km
+        FROM st_towers, fx_stations WHERE lat IS NOT NULL AND lon IS NOT NULL) d) r WHERE n = 1""")
+
+
+def _km(df):
+    return df.withColumn("distance_km", F.round("distance_km", 3))
 
 
-@query("tower_station")
+@query("tower_station", "SELECT mcc, net, area, cell, radio, lon, lat, station_name, round(distance_km, 3) AS distance_km FROM st_tower_station")
 def tower_station(d):
-    return weather.tower_station(weather.tower_clean(d.fx_towers), d.fx_stations)
+    return _km(weather.tower_station(weather.tower_clean(d.fx_towers), d.fx_stations))
+
+
+@query("weather_tower_proximity", """
+SELECT t.station_name, t.radio AS tower_radio, t.mcc AS tower_mcc, t.net AS tower_net, t.area AS tower_area, t.cell AS tower_cell, round(distance_km, 3) AS distance_km,
+  temperature, humidity, wind_speed, timestamp AS weather_timestamp, latitude AS station_lat, longitude AS station_lon
+FROM st_tower_station t JOIN (SELECT station_name, temperature, humidity, wind_speed, timestamp FROM st_silver
+  QUALIFY row_number() OVER (PARTITION BY station_name ORDER BY timestamp DESC, ingestion_time DESC) = 1) o ON o.station_name = t.station_name
+  JOIN fx_stations s ON s.station_name = t.station_name
+WHERE distance_km < 10""")
+def weather_tower_proximity(d):
+    return _km(weather.weather_tower_proximity(weather.tower_clean(d.fx_towers), d.fx_stations, _silver(d)))
+
+
+@query("weather_near_towers", """
+SELECT mcc, net, area, cell, t.station_name, count(*) AS observations, round(min(distance_km), 3) AS distance_km, max(timestamp) AS last_time,
+  round(sum(temperature), 6) AS temperatures, sum(humidity) AS humidities, round(max(pressure), 6) AS pressure, round(min(feels_like_temp), 2) AS feels_like
+FROM st_tower_station t JOIN st_silver o ON o.station_name = t.station_name GROUP BY mcc, net, area, cell, t.station_name""")
+def weather_near_towers(d):
+    """Summed per tower, as a third of all observations is of one station."""
+    seen = weather.weather_near_towers(weather.tower_clean(d.fx_towers), d.fx_stations, _silver(d))
+    return seen.groupBy("mcc", "net", "area", "cell", "station_name").agg(
+        F.count("*").alias("observations"), F.round(F.min("distance_km"), 3).alias("distance_km"), F.max("observation_time").alias("last_time"),
+        F.round(F.sum("temperature"), 6).alias("temperatures"), F.sum("humidity").alias("humidities"), F.round(F.max("pressure"), 6).alias("pressure"),
+        F.round(F.min("feels_like_temp"), 2).alias("feels_like"))
+
+
+@query("tower_by_cell", """
+SELECT radio, mcc, net, area, cell, unit, lon, lat, range_m AS range, samples FROM st_towers WHERE cell = 7""")
+def tower_by_cell(d):
+    return weather.tower_by_cell(weather.tower_clean(d.fx_towers), 7).select("radio", "mcc", "net", "area", "cell", "unit", "lon", "lat", "range", "samples")
+
+
+@query("observation_latest", """
+SELECT station_name, timestamp, temperature, humidity, wind_speed, feels_like_temp FROM st_silver WHERE station_name ILIKE '%dam%'
+QUALIFY row_number() OVER (PARTITION BY station_name ORDER BY timestamp DESC, ingestion_time DESC) = 1""")
+def observation_latest(d):
+    return weather.observation_latest(_silver(d), "dam").select("station_name", "timestamp", "temperature", "humidity", "wind_speed", "feels_like_temp")

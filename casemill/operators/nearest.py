@@ -9,13 +9,18 @@ cell can be. Only the points in the surviving cells are compared.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.geo import EARTH_RADIUS_KM, distance_km
+from ..session import scratch
 
 GRIDS = (16.0, 2.0, 0.25, 0.03125)  # degrees, each a whole multiple of the next
 KM_PER_DEGREE = 2 * 3.141592653589793 * EARTH_RADIUS_KM / 360
+CROWD = 64  # points of a right cell that are compared whole
+SPLIT = 8
+FINEST = 1e-4  # degrees, about the slack
 SLACK_KM = 0.01  # rounding of the arc cosine near zero
 
 
@@ -46,6 +51,18 @@ def _survivors(pairs: DataFrame, size: float) -> DataFrame:
             .where(F.col("_mid") - far <= F.col("_best") + far).select("ly", "lx", "ry", "rx"))
 
 
+def _split(kept: DataFrame, left: DataFrame, right: DataFrame, size: float, finer: float) -> DataFrame:
+    """The pairs of cells of the next grid that pairs of this one lead to, pruned."""
+    step = round(size / finer)
+    up = lambda name: F.floor(F.col(name) / step).cast("int")
+    inner_left = _cells(left, finer, ("cy", "cx")).withColumns({"ly": up("cy"), "lx": up("cx")})
+    inner_right = _cells(right, finer, ("dy", "dx")).withColumns({"ry": up("dy"), "rx": up("dx")})
+    pairs = (kept.join(inner_left, ["ly", "lx"]).join(inner_right, ["ry", "rx"])
+             .select(F.col("cy").alias("ly"), F.col("cx").alias("lx"),
+                     F.col("dy").alias("ry"), F.col("dx").alias("rx")))
+    return _survivors(pairs, finer)
+
+
 def cell_candidates(left: DataFrame, right: DataFrame, grids: Sequence[float] = GRIDS) -> DataFrame:
     """Left cell, right cell pairs of the finest grid; both inputs have ``lat, lon``."""
     size = grids[0]
@@ -57,19 +74,42 @@ def cell_candidates(left: DataFrame, right: DataFrame, grids: Sequence[float] =
              .join(_cells(right, size, ("ry", "rx")), ["ry", "rx"]))
     kept = _survivors(pairs, size)
     for finer in grids[1:]:
-        step = int(size / finer)
-        up = lambda name: F.floor(F.col(name) / step).cast("int")
-        inner_left = _cells(left, finer, ("cy", "cx")).withColumns({"ly": up("cy"), "lx": up("cx")})
-        inner_right = _cells(right, finer, ("dy", "dx")).withColumns({"ry": up("dy"), "rx": up("dx")})
-        pairs = (kept.join(inner_left, ["ly", "lx"]).join(inner_right, ["ry", "rx"])
-                 .select(F.col("cy").alias("ly"), F.col("cx").alias("lx"),
-                         F.col("dy").alias("ry"), F.col("dx").alias("rx")))
-        size, kept = finer, _survivors(pairs, finer)
+        size, kept = finer, _split(kept, left, right, size, finer)
     return kept
 
 
+def _levels(left: DataFrame, right: DataFrame, grids: Sequence[float], crowd: int) -> list[tuple[float, DataFrame]]:
+    """(size, pairs of cells) of each level of the tree at which pairs of cells are compared point by point."""
+    spark, size, out = left.sparkSession, grids[-1], []
+    kept = cell_candidates(left, right, grids)
+    while True:
+        y, x = _cell(F.col("lat"), F.col("lon"), size)
+        crowded = right.groupBy(y.alias("ry"), x.alias("rx")).agg(F.count("*").alias("n")).where(F.col("n") > crowd)
+        if size <= FINEST or crowded.isEmpty():
+            return [*out, (size, kept)]
+        path = scratch(spark, "cells")  # each level is planned once
+        kept.write.parquet(path)
+        kept = spark.read.schema(kept.schema).parquet(path)
+        out.append((size, kept.join(crowded, ["ry", "rx"], "left_anti").select("ly", "lx", "ry", "rx")))
+        kept = kept.join(crowded, ["ry", "rx"], "left_semi").select("ly", "lx", "ry", "rx")
+        size, kept = size / SPLIT, _split(kept, left, right, size, size / SPLIT)
+
+
+def _paired(left: DataFrame, spots: DataFrame, right_id: str, kept: DataFrame, size: float) -> DataFrame:
+    """Each row of ``left`` with the right points of its cell's pairs that can still be the nearest."""
+    y, x = _cell(F.col("lat"), F.col("lon"), size)
+    placed = spots.select(F.col("lat").alias("r_lat"), F.col("lon").alias("r_lon"), right_id,
+                          y.alias("ry"), x.alias("rx"))
+    middle = distance_km(F.col("ly") * size + size / 2 - 90, F.col("lx") * size + size / 2 - 180,
+                         F.col("r_lat"), F.col("r_lon"))
+    best = F.min("_mid").over(Window.partitionBy("ly", "lx"))
+    options = (kept.join(placed, ["ry", "rx"]).withColumn("_mid", middle).withColumn("_best", best)
+               .where(F.col("_mid") <= F.col("_best") + 2 * _reach(size)).select("ly", "lx", "r_lat", "r_lon", right_id))
+    return left.withColumns({"ly": y, "lx": x}).join(options, ["ly", "lx"]).drop("ly", "lx")
+
+
 def nearest(left: DataFrame, right: DataFrame, right_id: str, keys: Sequence[str],
-            grids: Sequence[float] = GRIDS) -> DataFrame:
+            grids: Sequence[float] = GRIDS, crowd: int = CROWD) -> DataFrame:
     """One row per key of ``left``: the closest right point, ties by its id.
 
     ``left`` has ``lat, lon`` and any other columns; when several rows share the
@@ -80,17 +120,8 @@ def nearest(left: DataFrame, right: DataFrame, right_id: str, keys: Sequence[str
     left = left.where("lat IS NOT NULL AND lon IS NOT NULL")
     spots = (right.where("lat IS NOT NULL AND lon IS NOT NULL")
              .groupBy("lat", "lon").agg(F.min(right_id).alias(right_id)))
-    size = grids[-1]
-    kept = cell_candidates(left, spots, grids)
-    y, x = _cell(F.col("lat"), F.col("lon"), size)
-    placed = spots.select(F.col("lat").alias("r_lat"), F.col("lon").alias("r_lon"), right_id,
-                          y.alias("ry"), x.alias("rx"))
-    middle = distance_km(F.col("ly") * size + size / 2 - 90, F.col("lx") * size + size / 2 - 180,
-                         F.col("r_lat"), F.col("r_lon"))
-    best = F.min("_mid").over(Window.partitionBy("ly", "lx"))
-    options = (kept.join(placed, ["ry", "rx"]).withColumn("_mid", middle).withColumn("_best", best)
-               .where(F.col("_mid") <= F.col("_best") + 2 * _reach(size)).select("ly", "lx", "r_lat", "r_lon", right_id))
-    paired = left.withColumns({"ly": y, "lx": x}).join(options, ["ly", "lx"])
+    parts = [_paired(left, spots, right_id, kept, size) for size, kept in _levels(left, spots, grids, crowd)]
+    paired = reduce(DataFrame.unionByName, parts)
     far = F.round(distance_km(F.col("lat"), F.col("lon"), F.col("r_lat"), F.col("r_lon")), 6)
     rest = [c for c in left.columns if c not in keys]
     pick = F.min(F.struct(far.alias("distance_km"), F.col(right_id), *rest)).alias("_pick")
