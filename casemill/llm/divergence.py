@@ -66,9 +66,36 @@ def tokens(docs: DataFrame) -> DataFrame:
     return docs.select(lang, source, F.col("text").cast("string").alias("text")).mapInArrow(_terms, "lang string, source string, terms array<string>")
 
 
+def _frequencies(batches):
+    """(word, df): in how many rows of this task each term stands."""
+    held, size = [], 0
+
+    def summed():
+        words = pa.concat_arrays([w for w, _ in held]).dictionary_encode()
+        df = np.zeros(len(words.dictionary), np.int64)
+        np.add.at(df, words.indices.to_numpy(), np.concatenate([n for _, n in held]))
+        return words.dictionary, df
+
+    for batch in batches:
+        terms = batch.column(0)
+        found = terms.flatten().dictionary_encode()
+        row, v = np.repeat(np.arange(len(terms)), np.diff(terms.offsets.to_numpy())), max(1, len(found.dictionary))
+        once = np.unique(row * v + found.indices.to_numpy()) % v
+        held.append((found.dictionary, np.bincount(once, minlength=len(found.dictionary))))
+        size += len(found.dictionary)
+        if size > CELLS // 4:
+            held = [summed()]
+            size = len(held[0][1]) // 2
+    if held:
+        words, df = summed()
+        for a in range(0, len(df), 50_000):
+            yield pa.record_batch([words.slice(a, 50_000), pa.array(df[a : a + 50_000])], names=["word", "df"])
+
+
 def document_frequencies(rows: DataFrame, min_df: int) -> DataFrame:
     """(word, df) of the terms in at least ``min_df`` rows, each with its lang."""
-    return rows.select(F.explode(F.array_distinct("terms")).alias("word")).groupBy("word").agg(F.count("*").alias("df")).where(F.col("df") >= min_df)
+    counted = rows.select("terms").mapInArrow(_frequencies, "word string, df bigint")
+    return counted.groupBy("word").agg(F.sum("df").alias("df")).where(F.col("df") >= min_df)
 
 
 def _group_sums(batches):
