@@ -149,11 +149,26 @@ def new_ids(df: DataFrame, known: DataFrame, group: str, order: Sequence[str], b
             .drop("_n", "highest"))
 
 
-def change_log(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inserts, updates and deletes between two snapshots, rows kept as JSON."""
-    whole = F.to_json(F.struct(*old.columns))
-    sides = old.select(*keys, whole.alias("old_json")).join(
-        new.select(*old.columns).select(*keys, whole.alias("new_json")), list(keys), "full_outer")
+def change_log(old: DataFrame, new: DataFrame, keys: Sequence[str], buckets: int = 1 << 16) -> DataFrame:
+    """Inserts, updates and deletes between two snapshots, rows kept as JSON.
+
+    Rows are dealt into ``buckets`` by their keys, and each bucket is summed up as its row count and 128 bits of
+    row fingerprints, before anything is shuffled. Only rows of buckets that differ are joined, so snapshots that
+    agree nearly everywhere cost two scans; there are at most ``buckets`` rows to send around.
+    """
+    columns = old.columns
+    whole = F.to_json(F.struct(*columns))
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("_bucket")
+
+    def summed(df: DataFrame, side: str) -> DataFrame:
+        prints = df.select(bucket, F.xxhash64(whole).alias("x"), F.xxhash64(F.lit(1), whole).cast("decimal(38,0)").alias("y"))
+        return prints.groupBy("_bucket").agg(F.struct(F.count("*").alias("n"), F.bit_xor("x").alias("x"), F.sum("y").alias("y")).alias(side))
+
+    new = new.select(*columns)
+    differ = summed(old, "old").join(summed(new, "new"), "_bucket", "full_outer").where(~F.equal_null("old", "new")).select("_bucket")
+    differ = F.broadcast(differ)
+    rows = lambda df, name: df.select(*keys, whole.alias(name), bucket).join(differ, "_bucket", "left_semi").drop("_bucket")
+    sides = rows(old, "old_json").join(rows(new, "new_json"), list(keys), "full_outer")
     op = (F.when(F.col("old_json").isNull(), "INSERT").when(F.col("new_json").isNull(), "DELETE")
           .when(F.col("old_json") != F.col("new_json"), "UPDATE"))
     return sides.withColumn("op", op).where("op IS NOT NULL").select("op", *keys, "old_json", "new_json")
