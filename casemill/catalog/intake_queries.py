@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from ..operators import governance, intake
 from ..operators.keyed import change_log
 from ..plans import cases
+from ..session import scratch
+from ..sources.readers import scan_mixed_csv
 from . import layers as L
 from .access import AS_OF, MOMENT
 from .registry import query
@@ -77,3 +79,25 @@ def audit_recent(d):
 SELECT 'transactions' AS layer, (SELECT count(*) FROM st_stg_tx) AS staging_count, (SELECT count(*) FROM st_fact_tx) AS fact_count, (SELECT count(*) FROM st_stg_tx) - (SELECT count(*) FROM st_fact_tx) AS new_count""")
 def layer_reconcile(d):
     return cases.layer_reconcile({"transactions": (L.stg_tx(d), L.fact_tx(d))})
+
+
+TEXT_COLUMNS = ("transaction_id", "investigation_id", "source_id", "iban", "tegenrekening_iban", "omschrijving", "kenmerk", "naam_van")
+
+
+@query("mixed_layouts", f"""
+SELECT {", ".join(c for c in TEXT_COLUMNS if c not in ("omschrijving", "naam_van"))}, omschrijving || chr(10) || '"q", ' || transaction_id AS omschrijving,
+  CASE WHEN right(transaction_id, 1) NOT IN ('3', '6', '9') THEN naam_van END AS naam_van
+FROM fx_transactions""")
+def mixed_layouts(d):
+    """Files in three layouts, with quoted line breaks: other orders and cases of names, and one without the payer's name."""
+    root, last = scratch(d.spark, "layouts"), F.right("transaction_id", F.lit(1))
+    rows = d.fx_transactions.select(*TEXT_COLUMNS).withColumn("omschrijving", F.concat("omschrijving", F.lit('\n"q", '), "transaction_id"))
+    third = last.isin("3", "6", "9")
+    layouts = {
+        "one": rows.where(last.isin("0", "1", "2")),
+        "two": rows.where(~third & ~last.isin("0", "1", "2")).select(*[F.col(c).alias(c.upper()) for c in reversed(TEXT_COLUMNS)]),
+        "three": rows.where(third).drop("naam_van"),
+    }
+    for name, df in layouts.items():
+        df.write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{root}/{name}")
+    return scan_mixed_csv(d.spark, [f"{root}/{name}" for name in layouts], needed=["transaction_id", "iban"]).select(*TEXT_COLUMNS)

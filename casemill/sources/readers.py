@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
+from collections.abc import Iterable
+from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.dates import NTZ
 from ..operators.clean import check_bank_header, lower_header
@@ -13,6 +18,7 @@ from ..operators.clean import check_bank_header, lower_header
 TOWER_SCHEMA = ("radio string, mcc int, net int, area int, cell bigint, unit int, lon double, lat double, "
                 "range bigint, samples bigint, changeable int, created bigint, updated bigint, averageSignal int")
 CASE_PREFIX = "OND-"
+LAYOUTS = 200  # of the files of one scan
 DEFAULT_CASE = "GCS-AUTO"
 PART_FILE = r"^part-\d+-([0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})"
 
@@ -23,14 +29,10 @@ def _csv(spark: SparkSession, paths, multiline: bool) -> DataFrame:
     return reader.csv(paths)
 
 
-def _with_origin(df: DataFrame) -> DataFrame:
+def _origin() -> dict[str, Column]:
     """Case and source of each row by the path ``…/case/…/source_rest.csv`` it came from."""
-    path = F.col("_metadata.file_path")
-    name = F.col("_metadata.file_name")
-    return df.withColumns({
-        "investigation_id": F.coalesce(F.nullif(F.regexp_extract(path, f"({CASE_PREFIX}[^/]+)", 1), F.lit("")),
-                                       F.lit(DEFAULT_CASE)),
-        "source_id": F.regexp_extract(name, r"^([^_.]+)", 1)})
+    case = F.nullif(F.regexp_extract("_metadata.file_path", f"({CASE_PREFIX}[^/]+)", 1), F.lit(""))
+    return {"investigation_id": F.coalesce(case, F.lit(DEFAULT_CASE)), "source_id": F.regexp_extract("_metadata.file_name", r"^([^_.]+)", 1)}
 
 
 def scan_bank_csv(spark: SparkSession, paths) -> DataFrame:
@@ -46,10 +48,51 @@ def scan_telecom_csv(spark: SparkSession, paths, multiline: bool = False) -> Dat
 
 
 def _tagged(raw: DataFrame) -> DataFrame:
-    if "investigation_id" in [c.strip().lower() for c in raw.columns]:
-        return lower_header(raw)
-    tagged = _with_origin(raw)
-    return lower_header(tagged)
+    """Lower-case names; case and source from the path where the file has no columns of its own for them."""
+    own = {c.strip().lower() for c in raw.columns}
+    return lower_header(raw.withColumns({c: x for c, x in _origin().items() if c not in own}))
+
+
+def _first_lines(batches):
+    """The first line of each file whose beginning this task reads."""
+    seen = None
+    for batch in batches:
+        values, paths = batch.column(0), batch.column(1).dictionary_encode()
+        for k in range(batch.num_rows):
+            path = paths[k].as_py()
+            if path != seen:
+                seen = path
+                yield pa.record_batch([values.slice(k, 1), pa.array([path], batch.schema.field(1).type)], names=["header", "path"])
+
+
+def file_layouts(spark: SparkSession, paths) -> DataFrame:
+    """(path, header) of CSV files: one pass that parses nothing and returns a line a file."""
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"))
+    return lines.where("at = 0").select("value", "path").mapInArrow(_first_lines, "header string, path string").select("path", "header")
+
+
+def scan_mixed_csv(spark: SparkSession, paths, needed: Iterable[str] = (), multiline: bool = True) -> DataFrame:
+    """Files of several layouts as one table, all text: names in lower case, columns that a file lacks are null.
+
+    Files are grouped by their header (names in lower case, with order); each layout is one scan, so column pruning
+    reaches all of them. ``multiline`` allows quoted line breaks. A layout that lacks a ``needed`` column, names a
+    column twice, or has no header, fails before any row is read, with one of its files; so do more than LAYOUTS layouts.
+    """
+    groups = (file_layouts(spark, paths).groupBy(F.lower(F.trim("header")).alias("header"))
+              .agg(F.sort_array(F.collect_list("path")).alias("paths")).orderBy("header").limit(LAYOUTS + 1).collect())
+    if len(groups) > LAYOUTS:
+        raise ValueError(f"more than {LAYOUTS} layouts")
+    parts = []
+    for group in groups:
+        df = _csv(spark, [unquote(p) for p in group["paths"]], multiline)
+        names = [c.strip() for c in next(csv.reader([group["header"]]), [])]
+        absent = sorted(set(needed) - set(names))
+        if absent or len(set(names)) < len(names) or not group["header"]:
+            raise ValueError(f"{group['paths'][0]}: " + (f"no column {', '.join(absent)}" if absent else "no header" if not group["header"] else "a column stands twice"))
+        parts.append(_tagged(df))
+    if not parts:
+        raise FileNotFoundError(f"no line in {paths}")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def scan_tower_csv(spark: SparkSession, paths) -> DataFrame:
