@@ -85,11 +85,11 @@ TEXT_COLUMNS = ("transaction_id", "investigation_id", "source_id", "iban", "tege
 
 
 @query("mixed_layouts", f"""
-SELECT {", ".join(c for c in TEXT_COLUMNS if c not in ("omschrijving", "naam_van"))}, omschrijving || chr(10) || '"q", ' || transaction_id AS omschrijving,
+SELECT {", ".join(f"nullif({c}, '') AS {c}" for c in TEXT_COLUMNS if c not in ("omschrijving", "naam_van"))}, omschrijving || chr(10) || '"q", ' || transaction_id AS omschrijving,
   CASE WHEN right(transaction_id, 1) NOT IN ('3', '6', '9') THEN naam_van END AS naam_van
 FROM fx_transactions""")
 def mixed_layouts(d):
-    """Files in three layouts, with quoted line breaks: other orders and cases of names, and one without the payer's name."""
+    """Files in three layouts, with quoted line breaks: other orders and cases of names, and one without the payer's name. An empty field is null."""
     root, last = scratch(d.spark, "layouts"), F.right("transaction_id", F.lit(1))
     rows = d.fx_transactions.select(*TEXT_COLUMNS).withColumn("omschrijving", F.concat("omschrijving", F.lit('\n"q", '), "transaction_id"))
     third = last.isin("3", "6", "9")
