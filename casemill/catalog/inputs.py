@@ -192,7 +192,7 @@ FROM supplier"""
 
 # Cleaned rows as they leave intake: separators gone, plus signs as 00.
 INPUTS["fx_paths"] = """
-SELECT 'gs://bucket/' || CASE page_id % 5 WHEN 4 THEN 'inbox/' ELSE 'investigations/OND-2025-' || lpad(CAST(page_id % 40 AS STRING), 6, '0')
+SELECT 'store://files/' || CASE page_id % 5 WHEN 4 THEN 'inbox/' ELSE 'investigations/OND-2025-' || lpad(CAST(page_id % 40 AS STRING), 6, '0')
     || '/' || CASE page_id % 3 WHEN 0 THEN 'bank' WHEN 1 THEN 'telecom' ELSE 'forensic' END || '/' END
     || 'file-' || CAST(page_id AS STRING) || '.csv' AS path,
   CAST(length(html) AS BIGINT) AS size, TIMESTAMP '2025-01-01 00:00:00' + INTERVAL '1' MINUTE * page_id AS created
