@@ -61,4 +61,5 @@ def hour_between(c: Column, low: int, high: int) -> Column:
 
 
 def age_years(born: Column, as_of: Column) -> Column:
-    return F.floor(F.months_between(as_of, born) / 12).cast("int")
+    """Whole years, up to the day; born on 29 February, one gets older on 1 March of common years."""
+    return F.timestamp_diff("YEAR", born.cast("timestamp_ntz"), as_of.cast("timestamp_ntz")).cast("int")
