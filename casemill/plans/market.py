@@ -8,19 +8,19 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.keyed import newest_per_key, previous_value, upsert_latest
 
-TRADE_JSON = "s string, p string, q string, T bigint, t bigint, m boolean"
+TRADE_JSON = "map<string, string>"  # field names that differ by case alone are no struct
 TRADE_COLUMNS = {"symbol": "string", "price": "double", "quantity": "double", "event_time": "timestamp_ntz",
                  "trade_id": "bigint", "is_buyer_maker": "boolean", "ingested_at": "timestamp_ntz"}
 
 
 def reshape_trade_events(events: DataFrame, received: Column) -> DataFrame:
     """Exchange events with short keys (column ``value``) to trade rows."""
-    e = F.from_json("value", TRADE_JSON)
-    return events.withColumn("e", e).select(
-        F.col("e.s").alias("symbol"), F.col("e.p").try_cast("double").alias("price"),
-        F.col("e.q").try_cast("double").alias("quantity"),
-        F.timestamp_millis("e.T").cast("timestamp_ntz").alias("event_time"), F.col("e.t").alias("trade_id"),
-        F.col("e.m").alias("is_buyer_maker"), received.cast("timestamp_ntz").alias("ingested_at"))
+    e = F.col("e")
+    return events.withColumn("e", F.from_json("value", TRADE_JSON)).select(
+        e["s"].alias("symbol"), e["p"].try_cast("double").alias("price"), e["q"].try_cast("double").alias("quantity"),
+        F.timestamp_millis(e["T"].try_cast("bigint")).cast("timestamp_ntz").alias("event_time"),
+        e["t"].try_cast("bigint").alias("trade_id"), e["m"].try_cast("boolean").alias("is_buyer_maker"),
+        received.cast("timestamp_ntz").alias("ingested_at"))
 
 
 def parse_trades(messages: DataFrame, keep: list[str] | None = None) -> DataFrame:
