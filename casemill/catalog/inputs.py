@@ -197,3 +197,12 @@ SELECT 'store://files/' || CASE page_id % 5 WHEN 4 THEN 'inbox/' ELSE 'investiga
     || 'file-' || CAST(page_id AS STRING) || '.csv' AS path,
   CAST(length(html) AS BIGINT) AS size, TIMESTAMP '2025-01-01 00:00:00' + INTERVAL '1' MINUTE * page_id AS created
 FROM pages"""
+
+INPUTS["fx_persons"] = """
+SELECT 'P-' || CAST(c_custkey AS STRING) AS person_id,
+  CASE c_custkey % 7 WHEN 0 THEN 'legal' WHEN 1 THEN 'unknown' WHEN 2 THEN 'company' ELSE 'natural' END AS person_type,
+  CASE c_custkey % 9 WHEN 0 THEN 'iban' WHEN 1 THEN 'msisdn' WHEN 2 THEN 'visa' WHEN 3 THEN NULL ELSE 'email' END AS identifier_type,
+  CASE c_custkey % 5 WHEN 0 THEN 'suspect' WHEN 1 THEN 'victim' WHEN 2 THEN 'neighbour' ELSE 'related' END AS person_role,
+  CASE c_custkey % 4 WHEN 0 THEN 'high' WHEN 1 THEN 'severe' WHEN 2 THEN NULL ELSE 'low' END AS risk_level,
+  CAST(c_custkey % 120 AS DOUBLE) / 1e2 AS confidence_score, CAST(c_custkey % 110 AS INT) - 3 AS data_completeness_pct
+FROM customer"""

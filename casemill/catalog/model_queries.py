@@ -85,7 +85,7 @@ TX_COLUMNS = ("source_system_id, source_record_id, investigation_id, transaction
 
 @query("canonical_transactions", f"SELECT {TX_COLUMNS} FROM st_canon_tx")
 def canonical_tx(d):
-    return L.canon_tx(d).drop("source_file_name", "transaction_reference")
+    return L.canon_tx(d).drop("source_file_name", "transaction_reference", "source_raw_data")
 
 
 COMM_COLUMNS = ("source_system_id, source_record_id, investigation_id, communication_type, communication_datetime, "
@@ -96,12 +96,12 @@ COMM_COLUMNS = ("source_system_id, source_record_id, investigation_id, communica
 
 @query("canonical_calls", f"SELECT {COMM_COLUMNS} FROM st_canon_comm WHERE communication_type = 'call'")
 def canonical_calls(d):
-    return canonical.validate_communications(canonical.map_calls(L.raw_calls(d))).drop("source_file_name")
+    return canonical.validate_communications(canonical.map_calls(L.raw_calls(d))).drop("source_file_name", "source_raw_data")
 
 
 @query("canonical_messages", f"SELECT {COMM_COLUMNS} FROM st_canon_comm WHERE communication_type = 'sms'")
 def canonical_messages(d):
-    return canonical.validate_communications(canonical.map_messages(L.raw_messages(d))).drop("source_file_name")
+    return canonical.validate_communications(canonical.map_messages(L.raw_messages(d))).drop("source_file_name", "source_raw_data")
 
 
 @query("validate_transactions", """

@@ -118,7 +118,8 @@ def map_transactions(raw: DataFrame, description_length: int | None = None) -> D
         text.clean_description(F.col("omschrijving"), description_length).alias("description"),
         F.col("j.kenmerk").alias("reference_number"),
         F.lit(False).alias("is_cancelled"),
-        F.coalesce(F.lower("j.is_storno") == "true", F.lit(False)).alias("is_reversal"))
+        F.coalesce(F.lower("j.is_storno") == "true", F.lit(False)).alias("is_reversal"),
+        F.col("raw_data").alias("source_raw_data"))
     mapped = computed_once(mapped)
     return mapped.withColumn("data_completeness_score", completeness(mapped))
 
@@ -133,6 +134,7 @@ def _communication(raw: DataFrame, record_id: str, kind: str, fields: dict[str,
         "originator_type": F.lit("msisdn"),
         "recipient_type": F.lit("msisdn"),
         "network_operator": F.lit(OPERATOR),
+        "source_raw_data": F.col("raw_data"),
     }
     return computed_once(raw.select(*[c.alias(n) for n, c in {**shared, **fields}.items()]))
 
