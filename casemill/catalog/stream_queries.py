@@ -68,11 +68,11 @@ def _streamed_canonical(d, name: str) -> str:
 
 @query("streamed_transactions", f"SELECT {TX_COLUMNS} FROM st_canon_tx")
 def streamed_transactions(d):
-    return jobs.read_canonical(d.spark, _streamed_canonical(d, "streamed-transactions"), "transaction").drop("source_file_name", "transaction_reference")
+    return jobs.read_canonical(d.spark, _streamed_canonical(d, "streamed-transactions"), "transaction").drop("source_file_name", "transaction_reference", "source_raw_data")
 
 
 @query("streamed_communications", f"SELECT {COMM_COLUMNS} FROM st_canon_comm")
 def streamed_communications(d):
     sink = _streamed_canonical(d, "streamed-communications")
     both = [jobs.read_canonical(d.spark, sink, kind) for kind in ("call", "message")]
-    return both[0].unionByName(both[1]).drop("source_file_name")
+    return both[0].unionByName(both[1]).drop("source_file_name", "source_raw_data")
