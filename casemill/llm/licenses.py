@@ -4,7 +4,8 @@ All templates go into one suffix automaton over their words. A text streams thro
 gives the matching statistic, the longest run ending at each word that occurs in some template. Runs
 of at least ``least`` words (or a whole template, if shorter) that cannot be extended are matches.
 Matches of one template that follow each other in text and template, with gaps of at most GAP words,
-are chained; a chain that covers SHARE of the template's words gives it as a label, with its span.
+are chained so that the chain covers as many of its words as any can; one that covers SHARE of the
+template's words gives it as a label, with its span.
 
 Phrases are short templates with labels of their own, which are found wherever their words stand
 consecutively: a phrase ends at a word if the match there is long enough and the phrase's state is
@@ -12,8 +13,8 @@ the match's state or one of its suffixes.
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` with A to Z in lower case: digits, letters and all
 characters beyond ASCII. Null and empty texts have no words, no labels and score 0. Rows may repeat.
-Memory in a task is one text and the automaton, a few thousand states. Other columns stay. An empty
-table gives an empty result.
+Memory in a task is one text and the automaton, a few thousand states. Other columns stay, but for those
+named like a column of the result, which the result replaces. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -62,6 +63,7 @@ class Automaton:
         self.go: list[dict[int, int]] = [{}]
         self.link, self.length, self.ends = [-1], [0], [{}]
         self.size = {name: len(own) for name, own in templates.items()}
+        self.phrase_sizes = [len(own) for own in phrases.values()]
         for own in [*templates.values(), *phrases.values()]:
             for w in own:
                 self.ids.setdefault(w, len(self.ids))
@@ -87,6 +89,10 @@ class Automaton:
                 self.phrase[state] += where.get(up, [])
                 up = self.link[up]
 
+    def shortest(self, least: int) -> int:
+        """Fewer consecutive known words than these hold neither a phrase nor a match."""
+        return min([n for n in self.phrase_sizes if n] + [min(least, n) for n in self.size.values() if n], default=1)
+
     def _new(self, length: int, like: int | None = None) -> int:
         self.go.append({} if like is None else dict(self.go[like]))
         self.link.append(-1 if like is None else self.link[like])
@@ -143,20 +149,37 @@ def automaton(templates: tuple, phrases: tuple) -> Automaton:
 
 
 def chains(matches: list[tuple[int, int, str, int]], size: dict[str, int], gap: int) -> list[tuple[str, int, int, int]]:
-    """(template, start, end, words covered) of runs of matches (start, length, template, place in it) in order."""
-    found, open_ = [], {}
-    for start, length, name, place in matches:
-        for old in open_.get(name, []):
-            skip, jump = start - old["end"], place - old["to"]
-            if -length < skip <= gap and -length < jump <= gap and place + length > old["to"] and start + length > old["end"]:
-                old["covered"] += min(length, place + length - old["to"], start + length - old["end"])
-                old["end"], old["to"] = start + length, place + length
-                break
-        else:
-            own = {"start": start, "end": start + length, "to": place + length, "covered": length}
-            open_[name] = [x for x in open_.get(name, []) if start - x["end"] <= gap] + [own]
-            found.append((name, own))
-    return [(name, x["start"], x["end"], min(x["covered"], size[name])) for name, x in found]
+    """(template, start, end, words covered) of the best runs of matches (start, length, template, place in it) in order.
+
+    Of each template the chain that covers most words is taken, then the best of the matches left, and so on; a chain
+    that leads to a match already taken begins behind it. Ties go to the chain that ends first.
+    """
+    found, own = [], {}
+    for start, length, name, place in sorted(matches):
+        own.setdefault(name, []).append((start, start + length, place, place + length))
+    for name, spans in own.items():
+        score, before, open_ = [], [], []
+        for i, (start, end, place, to) in enumerate(spans):
+            open_ = [j for j in open_ if start - spans[j][1] <= gap]
+            best, last = end - start, -1
+            for j in open_:
+                _, old_end, _, old_to = spans[j]
+                if end > old_end and to > old_to and place - old_to <= gap:
+                    covered = score[j] + min(end - start, to - old_to, end - old_end)
+                    if covered > best:
+                        best, last = covered, j
+            score.append(best)
+            before.append(last)
+            open_.append(i)
+        taken = [False] * len(spans)
+        for i in sorted(range(len(spans)), key=lambda k: (-score[k], spans[k][1], k)):
+            at, stop = i, -1
+            while at >= 0 and not taken[at]:
+                taken[at], first, at = True, at, before[at]
+            if at != i:
+                stop = score[at] if at >= 0 else 0
+                found.append((name, spans[first][0], spans[i][1], min(score[i] - stop, size[name])))
+    return sorted(found, key=lambda x: (x[1], x[2], x[0]))
 
 
 def scan(own: list[bytes], a: Automaton, phrases: dict[str, str], least: int, gap: int, share: float) -> tuple:
@@ -168,7 +191,7 @@ def scan(own: list[bytes], a: Automaton, phrases: dict[str, str], least: int, ga
     known[1:-1] = ids >= 0
     edge = np.diff(known)
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    long = ends - starts >= 2
+    long = ends - starts >= a.shortest(least)
     hits, matches = [], []
     for s, e in zip(starts[long].tolist(), ends[long].tolist(), strict=True):
         last = None
@@ -180,7 +203,7 @@ def scan(own: list[bytes], a: Automaton, phrases: dict[str, str], least: int, ga
                         matches += [(at - size, size, name, p - size) for p in places]
             last = (end, state, length) if state else None
             hits += [(end - size, size, text) for text, size in a.phrase[state] if length >= size]
-    covered = chains(sorted(matches), a.size, gap) if matches else []
+    covered = chains(matches, a.size, gap) if matches else []
     return hits, [c for c in covered if c[3] >= share * a.size[c[0]]]
 
 

@@ -14,7 +14,8 @@ no UTF-8 become U+FFFD, and a marker in the text comes back as a space.
 
 Null texts have null ids, and empty texts none. The model is given as bytes, read on the driver from a
 path that is a parameter; it is a few hundred kilobytes and goes to the executors as a broadcast.
-Other columns stay as they are. An empty table gives an empty result.
+Other columns stay as they are, but for those named ``ids``, ``parity`` or ``decoded``, which the results
+replace. An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -23,7 +23,9 @@ word with any example, empty and null ones among them, get the share of toxic ex
 without kept terms. ``evidence`` lists doc_ids and cosines of the neighbours that voted.
 
 Nothing but the text enters a score. Labels that are null are ignored; a doc_id labelled twice trains
-twice. With no labelled row of either class every score is the smoothed share of toxic rows.
+twice. With no labelled row of either class every score is the smoothed share of toxic rows. Other columns stay,
+but for those named like a result, which it replaces; an empty table gives an empty result. Rows without doc_id
+are scored like others, and can't be examples.
 """
 
 from __future__ import annotations
