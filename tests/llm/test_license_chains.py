@@ -63,3 +63,12 @@ def test_results_replace_columns_of_their_names(spark):
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert licenses.scan_licenses(docs).count() == sentencepiece.decode(sentencepiece.encode(docs)).count() == 0
+
+
+def test_toxicity_of_nothing_and_without_ids(spark):
+    docs = spark.createDataFrame([(1, "some words", None, None, 1), (None, "some words", None, None, 1), (2, None, None, None, 0)], SCHEMA)
+    labels = spark.createDataFrame([(1, 1), (2, 0), (None, 1)], "doc_id bigint, toxic int")
+    model = toxicity.fit(docs, labels)
+    scores = {(r.doc_id, r.text): r.toxic_score for r in toxicity.score(docs, model).collect()}
+    assert len(scores) == 3 and scores[1, "some words"] == scores[None, "some words"] and all(0 <= v <= 1 for v in scores.values())
+    assert None not in [int(k) for k in model.ids] and toxicity.score(spark.createDataFrame([], SCHEMA), model).count() == 0
