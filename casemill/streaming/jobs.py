@@ -16,7 +16,33 @@ from ..plans.market import TRADE_COLUMNS, candle_parts, complete_trades, incompl
 BATCH = "batch"
 
 
+ROWS_PER_FILE = 1_000_000
+
+
+def _dealt(df: DataFrame, parts: tuple[str, ...]) -> DataFrame:
+    """Rows of one folder brought together, so that it gets one file for each ``ROWS_PER_FILE`` rows and not one per task."""
+    files = df.groupBy(*parts).agg(F.ceil(F.count("*") / F.lit(ROWS_PER_FILE)).alias("_files"))
+    files = F.broadcast(files.select(*[F.col(p).alias(f"_{p}") for p in parts], "_files"))
+    same = F.lit(True)
+    for p in parts:
+        same = same & F.col(p).eqNullSafe(F.col(f"_{p}"))
+    lot = F.pmod(F.xxhash64(*df.columns), F.col("_files"))
+    return df.join(files, same).withColumn("_lot", lot).repartition(*parts, "_lot").select(*df.columns)
+
+
 def write_batch(df: DataFrame, path: str, batch_id: int, parts: tuple[str, ...] = ()) -> None:
+    """The folder of a batch, replaced as a whole; with ``parts`` one in each folder of their values."""
+    if parts:
+        df = df.persist()
+        try:
+            _write(_dealt(df, parts), path, batch_id, parts)
+        finally:
+            df.unpersist()
+    else:
+        _write(df, path, batch_id)
+
+
+def _write(df: DataFrame, path: str, batch_id: int, parts: tuple[str, ...] = ()) -> None:
     (df.withColumn(BATCH, F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*parts, BATCH).parquet(path))
 
