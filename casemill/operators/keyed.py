@@ -121,20 +121,24 @@ def last_known(df: DataFrame, key: str, order: Sequence[str], value: str, out: s
 
 
 def number_rows(df: DataFrame, group: Sequence[str], order: Sequence[str], bucket: Column,
-                out: str = "number") -> DataFrame:
+                out: str = "number", start: DataFrame | None = None) -> DataFrame:
     """1, 2, 3 … per group in the given order, without one task sorting a whole group.
 
     ``bucket`` must not decrease along the order. Rows are numbered per bucket
-    and shifted by the count of the earlier buckets.
+    and shifted by the count of the earlier buckets. ``start`` (group columns, ``highest``): numbers go on from there;
+    it meets the counts of the buckets alone, never the rows.
     """
     cut = df.withColumn("_bucket", bucket)
     inside = Window.partitionBy(*group, "_bucket").orderBy(*order)
     before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     shift = (cut.groupBy(*group, "_bucket").agg(F.count("*").alias("_n"))
              .withColumn("_shift", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n"))
+    if start is not None:
+        shift = (shift.join(start.select(*group, "highest"), list(group), "left")
+                 .withColumn("_shift", F.col("_shift") + F.coalesce("highest", F.lit(0))).drop("highest"))
     same = F.lit(True)
     numbered = cut.withColumn("_row", F.row_number().over(inside)).alias("l")
-    shift = shift.alias("r")
+    shift = shift.hint("shuffle_hash").alias("r")  # the counts are held, the rows pass by
     for name in [*group, "_bucket"]:
         same = same & F.col(f"l.{name}").eqNullSafe(F.col(f"r.{name}"))
     return numbered.join(shift, same, "inner").select(
@@ -143,10 +147,7 @@ def number_rows(df: DataFrame, group: Sequence[str], order: Sequence[str], bucke
 
 def new_ids(df: DataFrame, known: DataFrame, group: str, order: Sequence[str], bucket: Column) -> DataFrame:
     """Number new rows per group, on from the highest number known (``group, highest``)."""
-    numbered = number_rows(df, [group], order, bucket, "_n")
-    return (numbered.join(known, [group], "left")
-            .withColumn("number", F.col("_n") + F.coalesce(F.col("highest"), F.lit(0)))
-            .drop("_n", "highest"))
+    return number_rows(df, [group], order, bucket, start=known)
 
 
 def change_log(old: DataFrame, new: DataFrame, keys: Sequence[str], buckets: int = 1 << 16) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from casemill.operators import keyed
 from casemill.streaming import jobs
 
 
@@ -22,3 +23,18 @@ def test_a_date_gets_one_file_and_a_busy_one_more(spark, tmp_path, monkeypatch):
     for folder in ("one", "more"):
         back = spark.read.parquet(str(tmp_path / folder)).select("id", "event_date")
         assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, rows.collect()), key=str)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString(), df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_numbers_go_on_without_the_rows_meeting_the_known_groups(spark):
+    day = F.col("d")
+    rows = spark.createDataFrame([("a", 1, 1), ("a", 1, 2), ("a", 2, 1), ("b", 1, 1), (None, 1, 1), (None, 2, 1)], "g string, d int, k int")
+    known = spark.createDataFrame([("a", 7), ("c", 100)], "g string, highest bigint")
+    out = keyed.new_ids(rows, known, "g", ["d", "k"], day)
+    want = {("a", 1, 1, 8), ("a", 1, 2, 9), ("a", 2, 1, 10), ("b", 1, 1, 1), (None, 1, 1, 1), (None, 2, 1, 2)}
+    assert {(r.g, r.d, r.k, r.number) for r in out.collect()} == want
+    top = next(line for line in _plan(out)[0].splitlines() if "Join" in line)
+    assert "_bucket" in top and "shuffle_hash" in top  # the last join is by group and bucket, the counts on the held side
