@@ -177,7 +177,7 @@ SELECT source_system_id, source_record_id, CAST(amount AS DOUBLE) AS amount, des
 FROM st_canon_tx""")
 def upsert_partial(d):
     """Rows before 2000 are stored as pending; a later run brings new states for all rows since 1997."""
-    rows = _tx_core(d)
+    rows = L.kept(d, _tx_core(d), "upsert-rows")
     old = rows.where("posting_date < DATE '2000-01-01'").withColumns(
         {"validation_status": F.lit("pending"), "data_completeness_score": F.lit(0)})
     new = rows.where("posting_date >= DATE '1997-01-01'").withColumn(

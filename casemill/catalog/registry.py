@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..session import prepare
+from ..session import LONG_EXPRESSIONS, prepare
 from .inputs import INPUTS, TABLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,7 +57,7 @@ def query(name: str, sql: str | None = None):
     """Register ``fn(data)`` under a name; ``sql`` may use the derived inputs and the stages below."""
 
     def add(fn):
-        QUERIES[name] = lambda spark, sf_dir: plain(fn(Data(prepare(spark), sf_dir)))
+        QUERIES[name] = lambda spark, sf_dir: plain(fn(Data(prepare(spark, LONG_EXPRESSIONS), sf_dir)))
         if sql is not None:
             SQL[name] = with_parts(sql)
         return fn

@@ -10,7 +10,8 @@ NTZ = "timestamp_ntz"
 def dutch_date(c: Column) -> Column:
     """ISO date or date-time, else day-month-year."""
     iso = F.when(c.rlike(r"^\d{4}-\d{2}-\d{2}([T ].*)?$"), c).try_cast(NTZ)
-    return F.coalesce(iso, F.try_to_timestamp(c, F.lit("d-M-yyyy")).cast(NTZ))
+    likely = F.when(c.rlike(r"(?s)\p{Nd}.*-.*\p{Nd}.*-.*\p{Nd}"), c)  # text that can't be read costs an exception
+    return F.coalesce(iso, F.try_to_timestamp(likely, F.lit("d-M-yyyy")).cast(NTZ))
 
 
 def clock_seconds(c: Column) -> Column:

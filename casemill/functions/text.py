@@ -44,10 +44,8 @@ def contains_any(c: Column, words) -> Column:
 
 def clean_description(c: Column, length: int | None = None) -> Column:
     """One line without prefixes: the whole text, or its first ``length`` characters (DESCRIPTION_LENGTH for the reference's cut)."""
-    text = F.trim(F.regexp_replace(c, r"\s+", " "))
-    for prefix in DESCRIPTION_PREFIXES:
-        rest = F.trim(text.substr(F.lit(len(prefix) + 1), F.length(text)))
-        text = F.when(text.startswith(prefix), rest).otherwise(text)
+    prefixes = "".join(f"(?:{prefix} *)?" for prefix in DESCRIPTION_PREFIXES)
+    text = F.regexp_replace(F.trim(F.regexp_replace(c, r"\s+", " ")), f"^{prefixes}", "")
     return F.when(F.length(c) > 0, text if length is None else F.substring(text, 1, length))
 
 

@@ -42,14 +42,12 @@ def upsert_partial(old: DataFrame, new: DataFrame, keys: Sequence[str], update:
     Several new rows of one key act in order: the first inserts, the last updates.
     """
     cols = [c for c in old.columns if c not in keys]
-    rank = F.struct(*order, *[c for c in cols if c not in order])
-    row = F.struct(*cols)
-    marked = old.select(*keys, F.lit(0).alias("_new"), rank.alias("_rank"), row.alias("_row")).unionByName(
-        new.select(*old.columns).select(*keys, F.lit(1).alias("_new"), rank.alias("_rank"), row.alias("_row")))
-    step = F.struct("_new", "_rank", "_row")
-    ends = marked.groupBy(*keys).agg(F.min(step).alias("_kept"), F.max(step).alias("_last"))
+    step = F.struct(F.lit(0).alias("_new"), *order, *[c for c in cols if c not in order])
+    later = F.struct(F.lit(1).alias("_new"), *order, *[c for c in cols if c not in order])
+    marked = old.select(*keys, step.alias("_step")).unionByName(new.select(*old.columns).select(*keys, later.alias("_step")))
+    ends = marked.groupBy(*keys).agg(F.min("_step").alias("_kept"), F.max("_step").alias("_last"))
     return ends.select(*[
-        F.col(c) if c in keys else F.col(f"{'_last' if c in update else '_kept'}._row.{c}").alias(c)
+        F.col(c) if c in keys else F.col(f"{'_last' if c in update else '_kept'}.{c}").alias(c)
         for c in old.columns])
 
 

@@ -15,6 +15,15 @@ DEFAULTS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # bank and source ids look like numbers; keep partition values as text
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    "spark.sql.codegen.hugeMethodLimit": "65535",
+}
+
+# The mappings make long expressions, and the JVM compiles no method beyond 8,000 bytes: longer ones are not fused.
+# They take far longer than reading does, so files are read in smaller pieces.
+LONG_EXPRESSIONS = {
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.files.maxPartitionBytes": "32m",
+    "spark.sql.files.openCostInBytes": "1m",
 }
 
 
@@ -28,9 +37,9 @@ def build(app: str = "casemill", master: str | None = None, **conf: str) -> Spar
     return builder.getOrCreate()
 
 
-def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the runtime defaults to a session somebody else created."""
-    for key, value in DEFAULTS.items():
+def prepare(spark: SparkSession, conf: dict[str, str] | None = None) -> SparkSession:
+    """Apply the runtime defaults to a session somebody else created; ``conf`` entries win over them."""
+    for key, value in {**DEFAULTS, **(conf or {})}.items():
         spark.conf.set(key, value)
     return spark
 
