@@ -176,15 +176,18 @@ def dim_phone(d: Data) -> DataFrame:
 
 
 def fact_tx(d: Data) -> DataFrame:
-    return models.fact_transaction(stg_tx(d), dim_bank(d))
+    stg = kept(d, stg_tx(d), "stg-transactions")
+    return models.fact_transaction(stg, models.dim_bank_account(stg, AS_OF))
 
 
 def fact_calls(d: Data) -> DataFrame:
-    return models.fact_call(stg_calls(d), dim_phone(d))
+    stg = kept(d, stg_calls(d), "stg-calls")
+    return models.fact_call(stg, models.dim_phone_number(stg, stg_messages(d), AS_OF))
 
 
 def fact_messages(d: Data) -> DataFrame:
-    return models.fact_message(stg_messages(d), dim_phone(d))
+    stg = kept(d, stg_messages(d), "stg-messages")
+    return models.fact_message(stg, models.dim_phone_number(stg_calls(d), stg, AS_OF))
 
 
 KEY = "md5(source_system_id || '|' || source_record_id)"

@@ -93,9 +93,9 @@ def dim_phone_number(calls: DataFrame, messages: DataFrame, as_of: dt.datetime)
 
 
 def _with_key(fact: DataFrame, dim: DataFrame, natural: str, key: str, column: str, out: str) -> DataFrame:
-    """Look the current dimension key up; busy accounts and numbers are split over tasks."""
+    """Look the current dimension key up. Only the keys of a task are held, not the rows of a busy account or number."""
     current = dim.where("is_current").select(F.col(natural).alias(column), F.col(key).alias(out))
-    return spread_join(fact, current, [column])
+    return spread_join(fact, current.hint("shuffle_hash"), [column])
 
 
 def fact_transaction(stg: DataFrame, dim: DataFrame) -> DataFrame:
