@@ -174,10 +174,10 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> Iterator[bytes]:
         yield x.as_py() or b""
 
 
-def lists(batch: pa.RecordBatch, name: str) -> Iterator[np.ndarray]:
-    """The values of a column of lists of long as arrays; null is empty."""
+def lists(batch: pa.RecordBatch, name: str, kind: type = U) -> Iterator[np.ndarray]:
+    """The values of a column of lists of long, or of the width of ``kind``, as arrays; null is empty."""
     column = batch.column(batch.schema.get_field_index(name))
-    values, ends = column.values.to_numpy(zero_copy_only=False).view(U), column.offsets.to_numpy()
+    values, ends = column.values.to_numpy(zero_copy_only=False).view(kind), column.offsets.to_numpy()
     for k in range(len(column)):
         yield values[ends[k] : ends[k + 1]]
 

@@ -8,8 +8,8 @@ cosines alike; they are no part of its length. Cosines that agree to DIGITS digi
 
 from __future__ import annotations
 
-import pickle
 import zlib
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -35,7 +35,7 @@ def _bags(letters: bytes):
     def run(batches):
         for batch in batches:
             found = [bag(t, letters) for t in texts(batch)]
-            columns = [pa.array([f(b) for b in found], pa.list_(pa.int64())) for f in (lambda b: signed(b[0]), lambda b: b[1])]
+            columns = [pa.array([signed(h) for h, _ in found], pa.list_(pa.int64())), pa.array([n for _, n in found], pa.list_(pa.int32()))]
             yield pa.record_batch([batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "toxic")] + columns, names=["doc_id", "toxic", "words", "counts"])
 
     return run
@@ -63,13 +63,14 @@ def _places(words: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Packed:
-    """Compressed when it is sent around, as each executor holds a copy on its disk."""
+    """Compressed when it is sent around, as each executor holds a copy on its disk; array by array, as the driver's memory is short."""
 
-    def __getstate__(self) -> bytes:
-        return zlib.compress(pickle.dumps({k: v for k, v in vars(self).items() if k not in ("lists", "common", "matrix")}, 5), 1)
+    def __getstate__(self) -> dict:
+        kept = {k: v for k, v in vars(self).items() if k not in ("lists", "common", "matrix")}
+        return {k: (v.dtype.str, v.shape, zlib.compress(np.ascontiguousarray(v), 1)) if isinstance(v, np.ndarray) else v for k, v in kept.items()}
 
-    def __setstate__(self, state: bytes) -> None:
-        vars(self).update(pickle.loads(zlib.decompress(state)))
+    def __setstate__(self, state: dict) -> None:
+        vars(self).update({k: np.frombuffer(zlib.decompress(v[2]), v[0]).reshape(v[1]) if isinstance(v, tuple) else v for k, v in state.items()})
 
 
 @dataclass
@@ -150,16 +151,26 @@ def _left_out(index, chosen: Callable[[], Callable[[bytes], bool]], letters: byt
 def build(docs: DataFrame, rows: DataFrame, letters: bytes) -> Whole | None:
     """The index of the examples ``rows`` (doc_id, text, toxic); document frequencies over ``docs``."""
     spark = docs.sparkSession
-    told = rows.mapInArrow(_bags(letters), "doc_id bigint, toxic int, words array<bigint>, counts array<bigint>").toArrow().combine_chunks()
+    told = rows.mapInArrow(_bags(letters), "doc_id bigint, toxic int, words array<bigint>, counts array<int>").toArrow()
     if not told.num_rows:
         return None
-    batch = told.to_batches()[0]
-    bags = list(zip(lists(batch, "words"), lists(batch, "counts"), strict=True))
-    ids, toxic = (batch.column(c).to_numpy() for c in ("doc_id", "toxic"))
-    order = sorted(range(len(ids)), key=lambda x: (ids[x], toxic[x], bags[x][0].tobytes(), bags[x][1].tobytes()))
+    ids, toxic = (told.column(c).to_numpy() for c in ("doc_id", "toxic"))
+    bags = [bag for batch in told.to_batches() for bag in zip(lists(batch, "words"), lists(batch, "counts", np.int32), strict=True)]
+    del told
+    often = Counter(zip(ids.tolist(), toxic.tolist(), strict=True))
+    own = lambda x: tuple(b.tobytes() for b in bags[x]) if often[ids[x], toxic[x]] > 1 else ()
+    order = sorted(range(len(ids)), key=lambda x: (ids[x], toxic[x], own(x)))
     ids, toxic, bags = ids[order], toxic[order].astype(float), [bags[x] for x in order]
+    place = np.repeat(np.arange(len(ids), dtype=np.int32), [len(b[0]) for b in bags])
     found, counts = (np.concatenate([b[c] for b in bags]) for c in (0, 1))
-    words, term = np.unique(found, return_inverse=True)
+    del bags
+    pa.default_memory_pool().release_unused()
+    by_word = np.argsort(found, kind="stable")  # the words of an example stay in their order
+    found, place, counts = found[by_word], place[by_word], counts[by_word]
+    del by_word
+    first = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]])) if len(found) else np.zeros(0, np.int64)
+    words, n_of = found[first], np.diff(first, append=len(found))
+    del found
     known = spark.sparkContext.broadcast(words)
     counted = docs.mapInArrow(_frequencies(known, letters), "word bigint, df bigint").groupBy("word").agg(F.sum("df").alias("df")).toArrow()
     known.destroy()
@@ -167,10 +178,10 @@ def build(docs: DataFrame, rows: DataFrame, letters: bytes) -> Whole | None:
     df = np.zeros(len(words))
     df[at[at >= 0]] = n[at >= 0]
     idf = np.log(1 + n[at < 0].sum() / (1 + df))
-    place, counts = np.repeat(np.arange(len(ids)), [len(b[0]) for b in bags]), counts.view(np.int64)
-    sizes = np.sqrt(np.bincount(place, ((1 + np.log(counts)) * idf[term]) ** 2, len(ids)))
-    by_word = np.argsort(term, kind="stable")
-    return Whole(words, idf, np.bincount(term, minlength=len(words)), place[by_word].astype(np.int32), counts[by_word].astype(np.int32), sizes, ids, toxic)
+    weights = 1 + np.log(counts.astype(np.int64))
+    weights *= np.repeat(idf, n_of)
+    weights **= 2
+    return Whole(words, idf, n_of, place, counts, np.sqrt(np.bincount(place, weights, len(ids))), ids, toxic)
 
 
 def votes(whole: Whole, rows: DataFrame, chosen: Callable[[], Callable[[bytes], bool]], letters: bytes, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

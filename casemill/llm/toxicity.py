@@ -224,6 +224,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int
     idf = np.array([np.log(1 + (counts.get(-1) or 0) / (1 + (counts.get(t) or 0))) for t in range(len(vocabulary))])
     told = rows.mapInArrow(_counted(vocabulary), "doc_id bigint, toxic int, terms array<bigint>, counts array<bigint>").collect()
     model = index(vocabulary, idf, told, nearest)
+    del told
     model.whole = _whole.build(docs, rows, _LETTERS)
     if model.whole is not None:
         _, toxic, votes = _whole.votes(model.whole, rows, _without(vocabulary), _LETTERS, nearest)
