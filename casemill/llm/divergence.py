@@ -3,14 +3,11 @@
 A null text, lang or source counts as ''. Terms are runs of letters A to Z and of code points from 128,
 with A to Z in lower case. Each lang keeps the V terms that stand in at least ``MIN_DF`` of its documents.
 
-- Texts are cut into terms once, and the terms are stored; each carries its lang behind a character that no term
-  holds, so one vocabulary serves all langs and is kept per lang.
-- The terms in at least MIN_DF rows are counted by an aggregation, with no limit to their number (minDF, and the
-  largest integer as vocabSize). At most ``MOST_TERMS`` of them become the vocabulary of a CountVectorizerModel, which
-  builds the sparse vectors; fitting it would count them once more (README has the figures). More terms than that
-  are never gathered anywhere: ``shuffled_counts`` makes the same counts by a join.
-- Group sums are made as a Summarizer makes them, but sparse: each task adds up the vectors of a (lang, source), and
-  one row for each term that stands there leaves it.
+- Texts are read and cut into terms once. A task makes the sparse vector of each document by its own numbers of terms,
+  and adds up the vectors of each (lang, source), and in how many of its documents each term stands. One row for each
+  term of a (lang, source) leaves it, and more only where a task would hold over ``MOST_TERMS`` sums.
+- These rows are shuffled once, by lang and term, so that a term's sums per source and the number of its documents in
+  the lang are made in one place. No vocabulary is gathered anywhere, and there is no limit to its size.
 - Pairs of sources are compared by term blocks. A source's terms are held against all sources of a block: with
   x(A, B) the sum of f over terms of A, y(A, B) that over the terms of both and m(A, B) their number, the value
   is x(A, B) + x(B, A) - y(A, B) + f0 (V - |A| - |B| + m), where f0 is f of a term that neither has. Only
@@ -24,130 +21,97 @@ of value 0 and no terms; repeated rows count as often as they stand. Columns oth
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ._shared import small_batches, stored, texts
 
 MIN_DF = 10
-MOST_TERMS = 4_000_000
+MOST_TERMS = 4_000_000  # sums that a task holds at once
 TOP = 10
 SOURCES = 256  # of a block
 CELLS = 1 << 21  # sources times terms of a block, about
-_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-_TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")  # in UTF-8, bytes from 128 are those of code points from 128
-BEHIND = "\x00"  # between term and lang
+_BYTES = np.arange(256, dtype=np.uint8)
+_CAPITAL = (_BYTES >= 0x41) & (_BYTES <= 0x5A)
+_LOWER = np.where(_CAPITAL, _BYTES + np.uint8(32), _BYTES)
+_LETTER = _CAPITAL | (_BYTES >= 0x61) & (_BYTES <= 0x7A) | (_BYTES >= 0x80)  # in UTF-8, bytes from 128 are those of code points from 128
 
 
 def _p(count: str, n: str, v: str) -> Column:
     return F.expr(f"1 + (CAST(1000000000 AS DECIMAL(10, 0)) * (CAST({count} AS DECIMAL(20, 0)) + 2)) div (CAST({n} AS DECIMAL(20, 0)) + 2 * {v})")
 
 
-def _terms(batches):
-    for batch in batches:
-        of_row = [_TERM.findall(text.translate(_LOWER)) for text in texts(batch)]
-        ends = np.cumsum([0, *map(len, of_row)]).astype(np.int32)
-        lang = batch.column(batch.schema.get_field_index("lang"))
-        flat = pa.array([t for own in of_row for t in own], pa.binary()).cast(pa.string())
-        of_lang = lang.take(pa.array(np.repeat(np.arange(len(of_row)), np.diff(ends))))
-        marked = pc.binary_join_element_wise(flat, of_lang, pa.scalar(BEHIND))
-        yield pa.record_batch([lang, batch.column(batch.schema.get_field_index("source")), pa.ListArray.from_arrays(pa.array(ends), marked)], names=["lang", "source", "terms"])
-
-
-def tokens(docs: DataFrame) -> DataFrame:
-    """(lang, source, terms): the terms of each row, in order, each with its lang behind it."""
+def _terms(of_row: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """All terms of the texts, and the text that each stands in."""
+    data = np.frombuffer(b"\0".join([*of_row, b""]), np.uint8)
+    inside = _LETTER[data]
+    edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
+    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    cuts = np.concatenate([np.zeros(1, np.int64), np.cumsum(ends - starts)])
+    terms = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(cuts), pa.py_buffer(_LOWER[data[inside]])])
+    begins = np.cumsum([0, *(len(text) + 1 for text in of_row)])
+    return terms, np.searchsorted(begins, starts, side="right") - 1
+
+
+def _group_sums(most: int):
+    """(lang, source, term, n, df): sums of the sparse vectors of each group's documents in this task, and in how many each term stands; each group has a row without a term."""
+
+    def run(batches):
+        groups, words, held, size, places = {}, [], [], 0, 0
+
+        def summed():
+            one = pa.concat_arrays(words).dictionary_encode()
+            key, n, df = (np.concatenate(c) for c in zip(*held, strict=True))
+            key = key >> 32 << 32 | one.indices.to_numpy()[key & 0xFFFFFFFF]
+            order = np.argsort(key, kind="stable")
+            key = key[order]
+            first = np.flatnonzero(np.diff(key, prepend=-1))
+            return [one.dictionary], [(key[first], np.add.reduceat(n[order], first), np.add.reduceat(df[order], first))]
+
+        def told():
+            key, n, df = held[0]
+            every, of_place = list(groups), words[0].cast(pa.large_string())
+            of_group = [pa.array([x[i] for x in every], pa.string()) for i in (0, 1)]
+            for a in range(0, len(key), 50_000):
+                some = key[a : a + 50_000]
+                yield pa.record_batch([*(x.take(pa.array(some >> 32)) for x in of_group), of_place.take(pa.array(some & 0xFFFFFFFF)).cast(pa.string()), pa.array(n[a : a + 50_000]), pa.array(df[a : a + 50_000])], names=["lang", "source", "term", "n", "df"])
+
+        for batch in batches:
+            lang, source = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("lang", "source"))
+            group = np.array([groups.setdefault(x, len(groups)) for x in zip(lang, source, strict=True)], np.int64)
+            terms, row = _terms(list(texts(batch)))
+            if not len(terms):
+                continue
+            found = terms.dictionary_encode()
+            v = len(found.dictionary)
+            cell, n = np.unique(row * v + found.indices.to_numpy(), return_counts=True)  # the documents' vectors
+            held.append((group[cell // v] << 32 | places + cell % v, n.astype(np.int64), np.ones(len(n), np.int64)))
+            words.append(found.dictionary)
+            size, places = size + len(n), places + v
+            if size > min(CELLS, most):
+                words, held = summed()
+                size, places = len(held[0][0]) // 2, len(words[0])  # the next sum is made when as much again has come
+                if len(held[0][0]) > most:
+                    yield from told()
+                    words, held, size, places = [], [], 0, 0
+        if held:
+            words, held = summed()
+            yield from told()
+        for lang, source in groups:
+            yield pa.record_batch([pa.array([lang], pa.string()), pa.array([source], pa.string()), pa.array([None], pa.string()), pa.array([0], pa.int64()), pa.array([0], pa.int64())], names=["lang", "source", "term", "n", "df"])
+
+    return run
+
+
+def kept_counts(docs: DataFrame, min_df: int = MIN_DF, most_terms: int = MOST_TERMS) -> DataFrame:
+    """(lang, source, term, n) of kept terms, and a row without a term for each (lang, source)."""
     small_batches(docs.sparkSession, 500)
     lang, source = (F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source"))
-    return docs.select(lang, source, F.col("text").cast("string").alias("text")).mapInArrow(_terms, "lang string, source string, terms array<string>")
-
-
-def _frequencies(batches):
-    """(word, df): in how many rows of this task each term stands."""
-    held, size = [], 0
-
-    def summed():
-        words = pa.concat_arrays([w for w, _ in held]).dictionary_encode()
-        df = np.zeros(len(words.dictionary), np.int64)
-        np.add.at(df, words.indices.to_numpy(), np.concatenate([n for _, n in held]))
-        return words.dictionary, df
-
-    for batch in batches:
-        terms = batch.column(0)
-        found = terms.flatten().dictionary_encode()
-        row, v = np.repeat(np.arange(len(terms)), np.diff(terms.offsets.to_numpy())), max(1, len(found.dictionary))
-        once = np.unique(row * v + found.indices.to_numpy()) % v
-        held.append((found.dictionary, np.bincount(once, minlength=len(found.dictionary))))
-        size += len(found.dictionary)
-        if size > CELLS // 4:
-            held = [summed()]
-            size = len(held[0][1]) // 2
-    if held:
-        words, df = summed()
-        for a in range(0, len(df), 50_000):
-            yield pa.record_batch([words.slice(a, 50_000), pa.array(df[a : a + 50_000])], names=["word", "df"])
-
-
-def document_frequencies(rows: DataFrame, min_df: int) -> DataFrame:
-    """(word, df) of the terms in at least ``min_df`` rows, each with its lang."""
-    counted = rows.select("terms").mapInArrow(_frequencies, "word string, df bigint")
-    return counted.groupBy("word").agg(F.sum("df").alias("df")).where(F.col("df") >= min_df)
-
-
-def _group_sums(batches):
-    """(lang, source, place, n): sparse sums of the vectors of each group that this task sees."""
-    names, held, size = {}, [], 0
-
-    def summed():
-        key = np.concatenate([k for k, _ in held])
-        order = np.argsort(key, kind="stable")
-        key, n = key[order], np.concatenate([n for _, n in held])[order]
-        first = np.flatnonzero(np.diff(key, prepend=-1))
-        return key[first], np.add.reduceat(n, first)
-
-    for batch in batches:
-        lang, source, vector = batch.columns
-        places, values = vector.field("indices"), vector.field("values")
-        of_row = np.array([names.setdefault(x, len(names)) for x in zip(lang.to_pylist(), source.to_pylist(), strict=True)], np.int64)
-        group = np.repeat(of_row, np.diff(places.offsets.to_numpy()))
-        held.append((group << 32 | places.flatten().to_numpy().astype(np.int64), values.flatten().to_numpy().astype(np.int64)))
-        size += len(group)
-        if size > CELLS:
-            held = [summed()]
-            size = len(held[0][0]) // 2  # the next sum is made when as much again has come
-    if size:
-        key, n = summed()
-        every = list(names)
-        of_group = [pa.array([x[i] for x in every], pa.string()) for i in (0, 1)]
-        for a in range(0, len(key), 50_000):
-            some = key[a : a + 50_000]
-            yield pa.record_batch([*(x.take(pa.array(some >> 32)) for x in of_group), pa.array((some & 0xFFFFFFFF).astype(np.int32)), pa.array(n[a : a + 50_000])], names=["lang", "source", "place", "n"])
-
-
-def vectorised_counts(rows: DataFrame, kept: DataFrame) -> DataFrame:
-    """(lang, source, term, n) of kept terms, by a CountVectorizerModel and sparse group sums."""
-    words = kept.select("word").toArrow()["word"].combine_chunks()
-    words = words.take(pc.sort_indices(words))
-    model = CountVectorizerModel.from_vocabulary(words.to_pylist(), inputCol="terms", outputCol="vector")
-    vectors = model.transform(rows).select("lang", "source", F.unwrap_udt(F.col("vector")).alias("vector"))
-    sums = vectors.mapInArrow(_group_sums, "lang string, source string, place int, n bigint").groupBy("lang", "source", "place").agg(F.sum("n").alias("n"))
-    known = rows.sparkSession.createDataFrame(pa.table({"place": pa.array(range(len(words)), pa.int32()), "word": words}))
-    return sums.join(known, "place").select("lang", "source", F.substring_index("word", BEHIND, 1).alias("term"), "n")
-
-
-def shuffled_counts(rows: DataFrame, kept: DataFrame) -> DataFrame:
-    """The same without a vocabulary on the driver: one row for each term of a (lang, source) leaves a task."""
-    sums = rows.select("lang", "source", F.explode("terms").alias("word")).groupBy("lang", "source", "word").agg(F.count("*").alias("n"))
-    return sums.join(kept.select("word"), "word", "left_semi").select("lang", "source", F.substring_index("word", BEHIND, 1).alias("term"), "n")
-
-
-def kept_counts(rows: DataFrame, min_df: int = MIN_DF, most_terms: int = MOST_TERMS) -> DataFrame:
-    kept = stored(document_frequencies(rows, min_df), "kept-terms")
-    return vectorised_counts(rows, kept) if 0 < kept.count() <= most_terms else shuffled_counts(rows, kept)
+    sums = docs.select(lang, source, F.col("text").cast("string").alias("text")).mapInArrow(_group_sums(most_terms), "lang string, source string, term string, n bigint, df bigint")
+    sums = sums.repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
+    of_lang = F.sum("df").over(Window.partitionBy("lang", "term"))
+    return sums.withColumn("of_lang", of_lang).where(F.isnull("term") | (F.col("of_lang") >= min_df)).select("lang", "source", "term", "n")
 
 
 def _f(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -191,7 +155,7 @@ def pair_values(p: DataFrame, groups: DataFrame) -> DataFrame:
     cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cells = cells.select("lang", "bucket", F.least("block", "other").alias("bx"), F.greatest("block", "other").alias("by"), "block", "source", "term", "p", "p0")
     sums = cells.groupBy("lang", "bucket", "bx", "by").applyInArrow(_pair_sums, "lang string, source string, item string, x bigint, y bigint, m bigint")
-    sums = sums.groupBy("lang", "source", "item").agg(*(F.sum(c).alias(c) for c in "xym"))
+    sums = stored(sums.groupBy("lang", "source", "item").agg(*(F.sum(c).alias(c) for c in "xym")), "pair-sums")  # read twice
     one, two = (groups.select("lang", F.col("source").alias(name), F.col("terms").alias(f"terms_{name}"), F.col("p0").alias(f"p0_{name}"), "v") for name in ("source", "item"))
     pairs = one.join(two.drop("v"), "lang").where("source <> item")
     both = sums.select("lang", F.col("source").alias("item"), F.col("item").alias("source"), F.col("x").alias("x_back"))
@@ -203,11 +167,11 @@ def pair_values(p: DataFrame, groups: DataFrame) -> DataFrame:
 
 def audit(docs: DataFrame, min_df: int = MIN_DF, top: int = TOP, most_terms: int = MOST_TERMS) -> DataFrame:
     """(lang, source, part, item, value, rank): parts ``pair`` and ``term``."""
-    rows = stored(tokens(docs), "terms")
-    counts = stored(kept_counts(rows, min_df, most_terms), "source-terms")
+    rows = stored(kept_counts(docs, min_df, most_terms), "source-terms")
+    counts = rows.where("term IS NOT NULL")
     of_lang = counts.groupBy("lang", "term").agg(F.sum("n").alias("n"), F.count("*").alias("sources"))
     sizes = of_lang.groupBy("lang").agg(F.count("*").alias("v"), F.sum("n").alias("lang_n"))
-    groups = rows.select("lang", "source").distinct().join(counts.groupBy("lang", "source").agg(F.count("*").alias("terms"), F.sum("n").alias("group_n")), ["lang", "source"], "left")
+    groups = rows.where("term IS NULL").select("lang", "source").join(counts.groupBy("lang", "source").agg(F.count("*").alias("terms"), F.sum("n").alias("group_n")), ["lang", "source"], "left")
     groups = groups.join(sizes, "lang", "left").fillna(0, ["terms", "group_n", "v", "lang_n"])
     place = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
     groups = groups.withColumn("block", F.floor(place / SOURCES).cast("int"))
