@@ -6,11 +6,13 @@ import tempfile
 import uuid
 import weakref
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 # ---- storage --------------------------------------------------------------------------------
 
@@ -26,11 +28,30 @@ def shared_folder(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read again, so that lost executors cost no recomputation."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str):
+    """A session setting for as long as the block runs."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def stored(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read again, so that lost executors cost no recomputation.
+
+    Its shuffles are removed once it is written, as nothing reads them again. ``by``: a column whose values get a folder each.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        (df.write.partitionBy(by) if by else df.write).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
     _paths[out] = path
     return out
 
@@ -47,6 +68,28 @@ def discard(*frames: DataFrame) -> None:
             where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def met(table: DataFrame, by: str, value: int, names: list[str], condition: str) -> DataFrame:
+    """The pairs of rows in one folder of a table stored ``by`` a column, as x_ and y_ columns, where ``condition`` holds.
+
+    The rows are read from the files as often as they are needed: no copies are shuffled, however many pairs there are.
+    """
+    kind = StructType([f for f in table.schema if f.name != by])
+    rows = table.sparkSession.read.schema(kind).parquet(f"{_paths[table]}/{by}={value}")
+    x, y = (rows.select(*(F.col(c).alias(f"{side}_{c}") for c in names)) for side in "xy")
+    return x.join(y.hint("shuffle_replicate_nl"), F.expr(condition))
+
+
+#: Each pair of two numbered pieces once, on both sides of the diagonal, so that tasks get as many.
+EITHER = "(x_chunk = y_chunk OR (x_chunk < y_chunk) = (pmod(x_chunk + y_chunk, 2) = 0))"
+
+
+@contextmanager
+def large_rows(spark: SparkSession):
+    """For what runs in the block, few rows at a time are read and sent to Python, as each has megabytes."""
+    with setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", "1"), setting(spark, "spark.sql.parquet.columnarReaderBatchSize", "2"):
+        yield
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Arrow batches of so many rows, since texts may be long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
