@@ -3,8 +3,9 @@
 import itertools
 
 import numpy as np
+import pytest
 
-from casemill.llm import _shared, ngram_join
+from casemill.llm import _shared, embedding_dedup, ngram_join
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -71,3 +72,53 @@ def test_long_sets_sign_no_empty_parts():
             left = max(int(v[0]) & ngram_join.MOST_LEFT for v in own)
             both = len(np.intersect1d(*(v >> np.uint64(ngram_join.LEFT_BITS) for v in own)))
             assert both >= left > 0
+
+
+@pytest.mark.parametrize(("per_cell", "sparse", "block", "kind"), [(4_000, 20_000, 1_500, "float"), (25, 20_000, 7, "double"), (25, 0, 7, "float")])
+def test_large_labels_are_stored_once(spark, monkeypatch, per_cell, sparse, block, kind):
+    monkeypatch.setattr(embedding_dedup, "CHUNK", 8 * 16 * 20)  # 20 vectors
+    monkeypatch.setattr(embedding_dedup, "BLOCK", block)
+    monkeypatch.setattr(embedding_dedup, "SPARSE", sparse)
+    chunks, stored = [], embedding_dedup.stored
+
+    def seen(df, name, **how):
+        out = stored(df, name, **how)
+        if name == "chunks":
+            chunks.extend(out.select("part", "ids").collect())
+        return out
+
+    monkeypatch.setattr(embedding_dedup, "stored", seen)
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(20, 16))
+    x = centres[rng.integers(0, 20, 240)] + rng.normal(scale=0.18, size=(240, 16))
+    x[200:215] = x[0] * np.linspace(1, 3, 15)[:, None]  # the same direction
+    x[220:230] = x[3]  # the same vector
+    x = x.astype(np.float32)
+    label = np.where(np.arange(240) % 12 == 0, 2, np.arange(240) % 2)  # one that needs no chunks
+    rows = spark.createDataFrame([(int(k), v.tolist(), int(label[k])) for k, v in enumerate(x)], f"vec_id bigint, embedding array<{kind}>, label int")
+    y = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    near = (y @ y.T >= embedding_dedup.COSINE) & (label[:, None] == label[None, :])
+    links = [(a, b) for a, b in itertools.combinations(range(240), 2) if near[a, b]]
+    low, count = reachable(links, range(240)), np.bincount(np.array(links).ravel(), minlength=240)
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embedding_dedup.near_duplicates(rows, per_cell=per_cell).collect()}
+    assert got == {k: (count[k], low[k], low[k] == k) for k in range(240)} and len(links) > 100
+    ids = [np.frombuffer(c.ids, np.int64) for c in chunks]
+    assert {c.part for c in chunks} == {0, 1} and len(ids) > 6 and max(map(len, ids)) <= 20
+    assert sorted(np.concatenate(ids).tolist()) == sorted(k for k in range(240) if label[k] != 2 and not (220 <= k < 230 and any(label[j] == label[k] for j in (3, *range(220, k)))))
+
+
+def test_links_at_the_threshold_are_decided_in_doubles():
+    """Cosines that single precision takes for more or less than they are."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=64)
+    x /= np.linalg.norm(x)
+    across = rng.normal(size=(300, 64))
+    across -= np.outer(across @ x, x)
+    across /= np.linalg.norm(across, axis=1, keepdims=True)
+    c = embedding_dedup.COSINE + np.linspace(-3e-8, 3e-8, 300)
+    y = c[:, None] * x + np.sqrt(1 - c * c)[:, None] * across
+    own = np.concatenate([x[None], y])
+    chunk = embedding_dedup._Chunk(own, np.zeros(301, np.int64), np.arange(301), np.ones(301, np.int64), x[None])
+    near = embedding_dedup._links(chunk, np.arange(1), chunk, np.arange(1, 301), embedding_dedup.COSINE, False)[0]
+    assert (near == ((own[0] * own[1:]).sum(axis=1) >= embedding_dedup.COSINE)).all() and 100 < near.sum() < 200
+    assert (near != (chunk.short[0] @ chunk.short[1:].T >= np.float32(embedding_dedup.COSINE))).any()
