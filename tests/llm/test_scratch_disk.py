@@ -32,7 +32,7 @@ def test_stored_tables_leave_no_shuffle(spark):
 
 def test_large_families_are_stored_once(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "FAMILY_BLOCK", 4)
-    monkeypatch.setattr(ngram_join, "WHOLE_SETS", 20)
+    monkeypatch.setattr(ngram_join, "WHOLE_SETS", 20, raising=False)
     blocks, stored = [], ngram_join.stored
 
     def seen(df, name, **how):
@@ -59,6 +59,21 @@ def test_large_families_are_stored_once(spark, monkeypatch):
     assert all(len(sets[k]) >= b.low and len(sets[k]) <= b.high for b, own in zip(blocks, ids, strict=True) for k in own)
 
 
+def test_long_unrelated_texts_form_no_family(spark, monkeypatch):
+    found, stored = {}, ngram_join.stored
+
+    def seen(df, name, **how):
+        found[name] = stored(df, name, **how)
+        found[f"{name} rows"] = found[name].count()
+        return found[name]
+
+    monkeypatch.setattr(ngram_join, "stored", seen)
+    monkeypatch.setattr(ngram_join, "LIGHT", 2)
+    rows = spark.createDataFrame([(d, " ".join(f"d{d}w{k}" for k in range(6_000)), "en", "s", 1) for d in range(40)], SCHEMA)
+    assert {(r.doc_id, r.component_id) for r in ngram_join.similar(rows).collect()} == {(d, d) for d in range(40)}
+    assert found["members rows"] == 0
+
+
 def test_long_sets_sign_no_empty_parts():
     """Else every long text would meet all others: their families, and what is stored of them, would grow with the input."""
     rng = np.random.default_rng(6)
@@ -76,9 +91,9 @@ def test_long_sets_sign_no_empty_parts():
 
 @pytest.mark.parametrize(("per_cell", "sparse", "block", "kind"), [(4_000, 20_000, 1_500, "float"), (25, 20_000, 7, "double"), (25, 0, 7, "float")])
 def test_large_labels_are_stored_once(spark, monkeypatch, per_cell, sparse, block, kind):
-    monkeypatch.setattr(embedding_dedup, "CHUNK", 8 * 16 * 20)  # 20 vectors
+    monkeypatch.setattr(embedding_dedup, "CHUNK", 8 * 16 * 20, raising=False)  # 20 vectors
     monkeypatch.setattr(embedding_dedup, "BLOCK", block)
-    monkeypatch.setattr(embedding_dedup, "SPARSE", sparse)
+    monkeypatch.setattr(embedding_dedup, "SPARSE", sparse, raising=False)
     chunks, stored = [], embedding_dedup.stored
 
     def seen(df, name, **how):
